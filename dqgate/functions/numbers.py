@@ -1,39 +1,45 @@
-"""Guarded rates, exact half-even rounding and percent text."""
+"""SQL expressions for guarded rates, exact half-even rounding and percent text.
 
-from __future__ import annotations
-
-from pyspark.sql import Column, functions as F
+They are written as SQL text because a report needs dozens of them: one ``F.expr``
+per output column builds much faster than a tree of Column objects.
+"""
 
-# 2**27 + 1 splits a double into two halves whose small-integer products are exact.
-_SPLIT = 134217729.0
+from __future__ import annotations
 
 
-def round_half_even(value: Column, places: int) -> Column:
+def round_half_even(value: str, places: int) -> str:
     """``value`` at ``places`` decimals, ties to even, decided on the exact binary value.
 
     Spark's ``round`` and ``bround`` look at the shortest decimal text of a double,
     so they see a tie where the stored value lies a little off it.  Here the double
-    is compared with the midpoint without any rounding error.
+    is split into two halves (by 2**27 + 1) whose products with a small integer are
+    exact, and compared with the midpoint without any rounding error.  The lambdas
+    only name intermediate values; they are interpreted, which suits per-batch
+    values but would be slow on transaction rows.
+    """
+    scale = f"{10**places}D"
+    return f"""
+        element_at(transform(transform(transform(array(CAST({value} AS DOUBLE)),
+            x -> struct(x AS x,
+                        CAST(floor(x * {scale}) AS DOUBLE) AS below,
+                        x * 134217729D - (x * 134217729D - x) AS high)),
+            s -> struct(s.below AS below,
+                        (s.high * (2 * {scale}) - (s.below * 2 + 1))
+                        + (s.x - s.high) * (2 * {scale}) AS past)),
+            s -> (s.below + IF(s.past > 0 OR (s.past = 0 AND s.below % 2 <> 0), 1D, 0D)) / {scale}), 1)
     """
-    scale = float(10**places)
-    below = F.floor(value * scale).cast("double")
-    high = value * _SPLIT - (value * _SPLIT - value)
-    low = value - high
-    past_midpoint = (high * (2 * scale) - (below * 2 + 1)) + low * (2 * scale)
-    up = (past_midpoint > 0) | ((past_midpoint == 0) & (below % 2 != 0))
-    return (below + F.when(up, 1.0).otherwise(0.0)) / F.lit(scale)
 
 
-def ratio(part: Column, whole: Column) -> Column:
+def ratio(part: str, whole: str) -> str:
     """``part / whole``, 0 when there is nothing to divide by."""
-    return F.coalesce(F.try_divide(part, whole), F.lit(0.0))
+    return f"coalesce(try_divide({part}, {whole}), 0D)"
 
 
-def rate(part: Column, whole: Column) -> Column:
+def rate(part: str, whole: str) -> str:
     """``ratio`` at the six decimals a report stores."""
     return round_half_even(ratio(part, whole), 6)
 
 
-def percent(value: Column) -> Column:
+def percent(value: str) -> str:
     """A rate as text with two decimals, such as ``12.00%``."""
-    return F.format_string("%.2f%%", round_half_even(value * 100, 2))
+    return f"format_string('%.2f%%', {round_half_even(f'({value}) * 100', 2)})"

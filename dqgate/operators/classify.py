@@ -15,14 +15,19 @@ from dqgate.schema import CURATED, QUARANTINE, RAW_COLUMNS
 
 
 def typed(raw: DataFrame) -> DataFrame:
-    """Raw text columns plus their parsed values; ``dt`` is passed through."""
-    return raw.select(
-        *RAW_COLUMNS,
+    """Raw text columns plus their parsed values; ``dt`` is passed through.
+
+    The parsed values come out of a one-row generator.  The optimizer pushes a filter
+    through a projection by writing the projected expressions into the filter, once
+    per use, so a split by validity would parse every field several times.  It does
+    not push a filter on its output below a generator, and each field is parsed once.
+    """
+    parsed = F.struct(
         parse_timestamp(F.col("transactionts")).alias("transactionts_parsed"),
         parse_double(F.col("amount")).alias("amount_parsed"),
         parse_int(F.col("quantity")).alias("quantity_parsed"),
-        "dt",
     )
+    return raw.select(*RAW_COLUMNS, F.inline(F.array(parsed)), "dt")
 
 
 def tag(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:

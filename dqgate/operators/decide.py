@@ -56,13 +56,12 @@ def decision_rank(name: Column) -> Column:
 
 # -- baseline -----------------------------------------------------------------
 
+# What the landing key says before the batch date tells one feed from another.
+_FEED = "substring_index(s3_key, '/dt=', 1)"
+
 
 def with_baseline(
-    reports: DataFrame,
-    history: DataFrame | None = None,
-    *,
-    baseline: str = "previous",
-    feed: str | None = None,
+    reports: DataFrame, history: DataFrame | None = None, baseline: str = "previous"
 ) -> DataFrame:
     """Reports with the rates of the batch before, in date order and per feed.
 
@@ -79,83 +78,91 @@ def with_baseline(
         raise ValueError(f"unknown baseline: {baseline!r}")
 
     columns = reports.columns
-    rows = reports
+    rows = reports.withColumns({"_feed": F.expr(_FEED), "_new": F.lit(True)})
     if history is not None:
+        old = history.select(*columns).withColumns({"_feed": F.expr(_FEED), "_new": F.lit(False)})
         # One pass over each side: merging by key instead of anti-joining the new
         # dates keeps the (possibly costly) report plan from running twice.
-        both = reports.withColumn("_new", F.lit(True)).unionByName(
-            history.select(*columns).withColumn("_new", F.lit(False))
-        )
-        keys = ["source_date"] + ([feed] if feed else [])
+        rest = [name for name in rows.columns if name not in ("_feed", "source_date")]
         rows = (
-            both.groupBy(*keys)
-            .agg(
-                F.max_by(F.struct(*[c for c in both.columns if c not in keys]), "_new").alias("_row")
-            )
-            .select(*keys, "_row.*")
+            rows.unionByName(old)
+            .groupBy("_feed", "source_date")
+            .agg(F.max_by(F.struct(*rest), "_new").alias("_row"))
+            .select("_feed", "source_date", "_row.*")
         )
-    # One group per feed.  Its size is the number of calendar days, not of rows.
-    by_feed = Window.partitionBy(F.col(feed) if feed else F.lit("")).orderBy("source_date")
-    rows = rows.withColumns(
-        {
-            "previous_invalid_rate": F.lag("invalid_rate").over(by_feed),
-            "previous_warning_rate": F.lag("warning_rate").over(by_feed),
-        }
+    # One group per feed, of one row per calendar day.
+    by_feed = Window.partitionBy("_feed").orderBy("source_date")
+    return (
+        rows.withColumns(
+            {
+                "previous_invalid_rate": F.lag("invalid_rate").over(by_feed),
+                "previous_warning_rate": F.lag("warning_rate").over(by_feed),
+            }
+        )
+        .where("_new")
+        .select(*columns)
     )
-    return (rows if history is None else rows.where("_new")).select(*columns)
 
 
 # -- rules --------------------------------------------------------------------
 
+# A metric the report does not have counts as 0.
+_INVALID = "coalesce(invalid_rate, 0D)"
+_WARNING = "coalesce(warning_rate, 0D)"
+_ANOMALY = "coalesce(anomaly_high_amount_rate, 0D)"
+# Not rounded for the comparison.
+_DUPLICATE = ratio("coalesce(duplicate_transactionid_rows_total, 0)", "coalesce(valid_count, 0)")
+# NULL without a batch before, and then the rule does not fire.
+_DRIFT = f"({_INVALID} - previous_invalid_rate)"
+
 
 @dataclass(frozen=True)
 class BatchRule:
+    """Asks for the decision of ``rank`` when ``value`` is above ``limit``, strictly.
+
+    ``value`` and ``shown`` (the values filled into ``text``) are SQL expressions
+    over a report.
+    """
+
     number: int
     rank: int
-    fired: Column
-    value: Column
+    value: str
     limit: float
-    text: Column
-
+    text: str
+    shown: tuple[str, ...]
 
-def _metric(name: str) -> Column:
-    """A report metric, 0 when the report does not have it."""
-    return F.coalesce(F.col(name), F.lit(0))
+    @property
+    def fired(self) -> str:
+        return f"{self.value} > {float(self.limit)!r}D"
 
+    @property
+    def sentence(self) -> str:
+        filled = ", ".join(percent(value) for value in self.shown)
+        return f"format_string('{self.text}', {filled})"
 
-def duplicate_ratio() -> Column:
-    """Unrounded share of valid rows with a repeated id."""
-    return ratio(_metric("duplicate_transactionid_rows_total"), _metric("valid_count"))
+    @property
+    def record(self) -> str:
+        return f"struct({self.number} AS rule, {self.value} AS value, {float(self.limit)!r}D AS threshold)"
 
 
 def batch_rules(limits: Thresholds = DEFAULTS) -> list[BatchRule]:
-    """The five threshold rules, all of them strict comparisons."""
+    """The five threshold rules, in the order their reasons are listed."""
 
-    def above(number: int, rank: int, value: Column, limit: float, text: str) -> BatchRule:
-        shown = F.format_string(text, percent(value), percent(F.lit(float(limit))))
-        return BatchRule(number, rank, value > F.lit(float(limit)), value, limit, shown)
+    def above(number: int, rank: int, value: str, limit: float, text: str) -> BatchRule:
+        return BatchRule(number, rank, value, limit, text, (value, f"{float(limit)!r}D"))
 
-    current, previous = _metric("invalid_rate"), F.col("previous_invalid_rate")
-    drift = current - previous
     return [
-        above(1, QUARANTINE, current, limits.max_invalid_rate, INVALID_TEXT),
-        above(2, ALLOW_WITH_WARNING, _metric("warning_rate"), limits.max_warning_rate, WARNING_TEXT),
-        above(3, ESCALATE, duplicate_ratio(), limits.max_duplicate_rate, DUPLICATE_TEXT),
-        above(
-            4,
-            ALLOW_WITH_WARNING,
-            _metric("anomaly_high_amount_rate"),
-            limits.max_anomaly_rate,
-            ANOMALY_TEXT,
-        ),
+        above(1, QUARANTINE, _INVALID, limits.max_invalid_rate, INVALID_TEXT),
+        above(2, ALLOW_WITH_WARNING, _WARNING, limits.max_warning_rate, WARNING_TEXT),
+        above(3, ESCALATE, _DUPLICATE, limits.max_duplicate_rate, DUPLICATE_TEXT),
+        above(4, ALLOW_WITH_WARNING, _ANOMALY, limits.max_anomaly_rate, ANOMALY_TEXT),
         BatchRule(
             5,
             ESCALATE,
-            # NULL without a previous batch, which does not fire.
-            drift > F.lit(float(limits.max_invalid_drift)),
-            drift,
+            _DRIFT,
             limits.max_invalid_drift,
-            F.format_string(DRIFT_TEXT, percent(drift), percent(previous), percent(current)),
+            DRIFT_TEXT,
+            (_DRIFT, "previous_invalid_rate", _INVALID),
         ),
     ]
 
@@ -167,46 +174,33 @@ def decide(reports: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
     failure adds a reason to a severe decision but never changes it.
     """
     rules = batch_rules(limits)
-    rank = F.greatest(*[F.when(r.fired, r.rank).otherwise(ALLOW) for r in rules])
-    dominant = F.col("dominant_invalid_reason")
-    names_cause = (F.col("decision_rank") >= ESCALATE) & (dominant != "")
-
-    texts = [F.when(r.fired, r.text) for r in rules]
-    texts.append(F.when(names_cause, F.format_string(DOMINANT_TEXT, dominant)))
-    fired = [
-        F.when(
-            r.fired,
-            F.struct(
-                F.lit(r.number).alias("rule"),
-                r.value.cast("double").alias("value"),
-                F.lit(float(r.limit)).alias("threshold"),
-            ),
-        )
-        for r in rules
-    ]
+    rank = f"greatest({', '.join(f'IF({r.fired}, {r.rank}, {ALLOW})' for r in rules)})"
+    fired = f"array_compact(array({', '.join(f'IF({r.fired}, {r.record}, NULL)' for r in rules)}))"
+    sentences = [f"IF({r.fired}, {r.sentence}, NULL)" for r in rules]
+    sentences.append(
+        f"IF(decision_rank >= {ESCALATE} AND dominant_invalid_reason <> '',"
+        f" format_string('{DOMINANT_TEXT}', dominant_invalid_reason), NULL)"
+    )
+    found = f"array_compact(array({', '.join(sentences)}))"
+    summary = f"""named_struct(
+        'invalid_rate', {_INVALID},
+        'warning_rate', {_WARNING},
+        'duplicate_rate', {round_half_even(_DUPLICATE, 6)},
+        'anomaly_amount_rate', {_ANOMALY},
+        'raw_count', coalesce(raw_count, 0),
+        'valid_count', coalesce(valid_count, 0))"""
     return (
-        reports.withColumn("decision_rank", rank)
+        reports.withColumn("decision_rank", F.expr(rank))
         .withColumns(
             {
                 "decision": decision_name(F.col("decision_rank")),
-                "decision_reasons": F.array_compact(F.array(*texts)),
-                "fired_rules": F.array_compact(F.array(*fired)),
-                "metrics_summary": F.struct(
-                    _metric("invalid_rate").alias("invalid_rate"),
-                    _metric("warning_rate").alias("warning_rate"),
-                    round_half_even(duplicate_ratio(), 6).alias("duplicate_rate"),
-                    _metric("anomaly_high_amount_rate").alias("anomaly_amount_rate"),
-                    _metric("raw_count").alias("raw_count"),
-                    _metric("valid_count").alias("valid_count"),
-                ),
+                "_found": F.expr(found),
+                "fired_rules": F.expr(fired),
+                "metrics_summary": F.expr(summary),
             }
         )
-        .withColumn(
-            "decision_reasons",
-            F.when(F.size("decision_reasons") == 0, F.array(F.lit(PASSED))).otherwise(
-                F.col("decision_reasons")
-            ),
-        )
+        .withColumn("decision_reasons", F.expr(f"IF(size(_found) = 0, array('{PASSED}'), _found)"))
+        .drop("_found")
     )
 
 
@@ -271,11 +265,12 @@ def merge_verdicts(decisions: DataFrame, verdicts: DataFrame) -> DataFrame:
     rule decision alone.  Of several verdicts on one batch the most severe counts.
     """
     rank = decision_rank(F.col("verdict.final_decision"))
+    # max_by skips rows without an ordering value, that is, unusable verdicts.
+    severity = F.when(F.col("verdict").isNotNull(), F.struct(rank, F.col("verdict")))
     usable = (
         parse_verdicts(verdicts)
-        .where(F.col("verdict").isNotNull())
         .groupBy(F.col("dt").alias("source_date"))
-        .agg(F.max_by("verdict", F.struct(rank, F.col("verdict"))).alias("verdict"))
+        .agg(F.max_by("verdict", severity).alias("verdict"))
     )
     reviewed = F.when(F.col("decision_rank") > ALLOW, F.col("verdict"))
     return (

@@ -78,7 +78,7 @@ def duplicate_rows(valid_rows: DataFrame) -> DataFrame:
         )
         .withColumn(
             "duplicate_rate",
-            rate(F.col("duplicate_transactionid_rows_total"), F.col("valid_count")),
+            F.expr(rate("duplicate_transactionid_rows_total", "valid_count")),
         )
     )
 
@@ -100,12 +100,16 @@ def dominant_reason(breakdown: DataFrame) -> DataFrame:
     )
 
 
+def _exprs(*sql: str) -> list[Column]:
+    return [F.expr(text) for text in sql]
+
+
 def _entries(names: Sequence[str], prefix: str) -> Column:
     """The non-zero counters of one report row as an array of (reason, n)."""
-    counted = [F.struct(F.lit(c).alias("reason"), F.col(prefix + c).alias("n")) for c in names]
+    counted = ", ".join(f"struct('{c}' AS reason, `{prefix}{c}` AS n)" for c in names)
     if not counted:
         return F.array().cast("array<struct<reason:string,n:bigint>>")
-    return F.filter(F.array(*counted), lambda entry: entry["n"] > 0)
+    return F.expr(f"filter(array({counted}), entry -> entry.n > 0)")
 
 
 def quality_report(
@@ -126,53 +130,50 @@ def quality_report(
     rules = retail_rules(limits) if rules is None else rules
     critical, warning = codes(rules, CRITICAL), codes(rules, WARNING)
 
-    keyed = classified.select(
+    keyed = classified.selectExpr(
         "dt",
-        _if_valid("transactionid").alias("_id"),
-        F.when(~_is_valid(), F.col("_reasons")).alias("_broken"),
-        F.when(_is_valid(), F.col("_warn_reasons")).alias("_warned"),
-        high_amount(limits).alias("_high_amount"),
-        high_quantity(limits).alias("_high_quantity"),
-        _if_valid("amount_parsed").alias("_amount"),
-        _if_valid("quantity_parsed").alias("_quantity"),
+        "size(_reasons) = 0 AS _ok",
+        "_reasons",
+        "IF(size(_reasons) = 0, transactionid, NULL) AS _id",
+        "IF(size(_reasons) = 0, _warn_reasons, NULL) AS _warned",
+        "IF(size(_reasons) = 0, amount_parsed, NULL) AS _amount",
+        "IF(size(_reasons) = 0, quantity_parsed, NULL) AS _quantity",
     )
-    per_id = keyed.groupBy("dt", "_id", "_broken").agg(
-        F.count("*").alias("n"),
-        F.count_if(F.size("_warned") > 0).alias("warned"),
-        *[F.count_if(F.array_contains("_warned", c)).alias(f"w_{c}") for c in warning],
-        F.count_if("_high_amount").alias("high_amount"),
-        F.count_if("_high_quantity").alias("high_quantity"),
-        F.count("_amount").alias("amount_n"),
-        F.sum("_amount").alias("amount_sum"),
-        F.min("_amount").alias("amount_min"),
-        F.max("_amount").alias("amount_max"),
-        F.count("_quantity").alias("quantity_n"),
-        F.sum("_quantity").alias("quantity_sum"),
-        F.min("_quantity").alias("quantity_min"),
-        F.max("_quantity").alias("quantity_max"),
+    per_id = keyed.groupBy("dt", "_ok", "_id", "_reasons").agg(
+        *_exprs(
+            "count(*) AS n",
+            "count_if(size(_warned) > 0) AS warned",
+            *[f"count_if(array_contains(_warned, '{c}')) AS `w_{c}`" for c in warning],
+            f"count_if(_amount > {float(limits.amount_anomaly)}D) AS high_amount",
+            f"count_if(_quantity > {int(limits.quantity_anomaly)}) AS high_quantity",
+            "count(_amount) AS amount_n",
+            "sum(_amount) AS amount_sum",
+            "min(_amount) AS amount_min",
+            "max(_amount) AS amount_max",
+            "count(_quantity) AS quantity_n",
+            "sum(_quantity) AS quantity_sum",
+            "min(_quantity) AS quantity_min",
+            "max(_quantity) AS quantity_max",
+        )
     )
-
-    n, is_valid = F.col("n"), F.col("_broken").isNull()
-
-    def rows_where(condition: Column) -> Column:
-        return F.sum(F.when(condition, n).otherwise(0))
-
     per_batch = per_id.groupBy("dt").agg(
-        F.sum(n).alias("raw_count"),
-        rows_where(is_valid).alias("valid_count"),
-        rows_where(~is_valid).alias("invalid_count"),
-        F.sum("warned").alias("warning_count"),
-        rows_where(is_valid & (n > 1)).alias("duplicate_transactionid_rows_total"),
-        F.sum("high_amount").alias("anomaly_high_amount_count"),
-        F.sum("high_quantity").alias("anomaly_high_quantity_count"),
-        *[rows_where(F.array_contains("_broken", c)).alias(f"c_{c}") for c in critical],
-        *[F.sum(f"w_{c}").alias(f"w_{c}") for c in warning],
-        F.min("amount_min").alias("amount_min"),
-        F.max("amount_max").alias("amount_max"),
-        F.round(F.try_divide(F.sum("amount_sum"), F.sum("amount_n")), 2).alias("amount_avg"),
-        F.min("quantity_min").alias("quantity_min"),
-        F.max("quantity_max").alias("quantity_max"),
-        F.round(F.try_divide(F.sum("quantity_sum"), F.sum("quantity_n")), 2).alias("quantity_avg"),
+        *_exprs(
+            "sum(n) AS raw_count",
+            "sum(IF(_ok, n, 0)) AS valid_count",
+            "sum(IF(_ok, 0, n)) AS invalid_count",
+            "sum(warned) AS warning_count",
+            "sum(IF(_ok AND n > 1, n, 0)) AS duplicate_transactionid_rows_total",
+            "sum(high_amount) AS anomaly_high_amount_count",
+            "sum(high_quantity) AS anomaly_high_quantity_count",
+            *[f"sum(IF(array_contains(_reasons, '{c}'), n, 0)) AS `c_{c}`" for c in critical],
+            *[f"sum(`w_{c}`) AS `w_{c}`" for c in warning],
+            "min(amount_min) AS amount_min",
+            "max(amount_max) AS amount_max",
+            "round(try_divide(sum(amount_sum), sum(amount_n)), 2) AS amount_avg",
+            "min(quantity_min) AS quantity_min",
+            "max(quantity_max) AS quantity_max",
+            "round(try_divide(sum(quantity_sum), sum(quantity_n)), 2) AS quantity_avg",
+        )
     )
     return _assemble(per_batch, critical, warning, limits, landing_key)
 
@@ -185,30 +186,27 @@ def _assemble(
     landing_key: str,
 ) -> DataFrame:
     """Rates, maps and constants around the counters, in the report's column order."""
-    raw, valid = F.col("raw_count"), F.col("valid_count")
-    unknown = F.lit(None).cast("double")
-    ranked = F.transform(
-        "_broken", lambda entry: F.struct(-entry["n"], entry["reason"].alias("reason"))
-    )
-    return (
-        per_batch.withColumns({"_broken": _entries(critical, "c_"), "_warned": _entries(warning, "w_")})
-        .withColumns(
-            {
-                "source_date": F.col("dt"),
-                "s3_key": F.format_string(landing_key, "dt"),
-                "processed_at": F.current_timestamp(),
-                "batch_status": F.lit(PENDING),
-                "invalid_rate": rate(F.col("invalid_count"), raw),
-                "warning_rate": rate(F.col("warning_count"), raw),
-                "previous_invalid_rate": unknown,
-                "previous_warning_rate": unknown,
-                "dominant_invalid_reason": F.array_min(ranked)["reason"],
-                "anomaly_high_amount_rate": rate(F.col("anomaly_high_amount_count"), valid),
-                "anomaly_high_quantity_rate": rate(F.col("anomaly_high_quantity_count"), valid),
-                "invalid_reason_breakdown": F.map_from_entries("_broken"),
-                "warning_reason_breakdown": F.map_from_entries("_warned"),
-                "thresholds": limits.as_struct(),
-            }
-        )
-        .select(*REPORT.names)
+    per_batch = per_batch.withColumns(
+        {"_broken": _entries(critical, "c_"), "_warned": _entries(warning, "w_")}
     )
+    computed = {
+        "source_date": "dt",
+        "batch_status": f"'{PENDING}'",
+        "processed_at": "current_timestamp()",
+        "invalid_rate": rate("invalid_count", "raw_count"),
+        "warning_rate": rate("warning_count", "raw_count"),
+        "previous_invalid_rate": "CAST(NULL AS DOUBLE)",
+        "previous_warning_rate": "CAST(NULL AS DOUBLE)",
+        # Most rows first, then alphabetical.
+        "dominant_invalid_reason": (
+            "array_min(transform(_broken, e -> struct(-e.n AS n, e.reason AS reason))).reason"
+        ),
+        "anomaly_high_amount_rate": rate("anomaly_high_amount_count", "valid_count"),
+        "anomaly_high_quantity_rate": rate("anomaly_high_quantity_count", "valid_count"),
+        "invalid_reason_breakdown": "map_from_entries(_broken)",
+        "warning_reason_breakdown": "map_from_entries(_warned)",
+    }
+    columns = {name: F.expr(sql) for name, sql in computed.items()}
+    columns["s3_key"] = F.format_string(landing_key, "dt")
+    columns["thresholds"] = limits.as_struct()
+    return per_batch.select(*[columns.get(name, F.col(name)).alias(name) for name in REPORT.names])
