@@ -28,6 +28,9 @@ DRIFT_TEXT = (
 )
 DOMINANT_TEXT = "Dominant failure reason: %s. Investigate upstream source for this field."
 
+# Fixed value: what a reviewer is asked.
+REQUEST_TEXT = "Batch date: %s\nDeterministic decision: %s\nReasons: %s\nMetrics: %s"
+
 # The report fields a reviewer gets to see.
 REVIEW_FIELDS = (
     "source_date",
@@ -221,7 +224,7 @@ def review_queue(decisions: DataFrame) -> DataFrame:
         .withColumn(
             "request_text",
             F.format_string(
-                "Batch date: %s\nDeterministic decision: %s\nReasons: %s\nMetrics: %s",
+                REQUEST_TEXT,
                 "source_date",
                 "decision",
                 "reasons_text",

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from dqgate.functions.lineage import written
 from dqgate.operators.classify import classify, curated, quarantine
@@ -19,7 +20,7 @@ from dqgate.operators.decide import (
 from dqgate.operators.metrics import quality_report
 from dqgate.operators.route import alerts, failure_alerts, publish_gate, route
 from dqgate.operators.rules import Rule
-from dqgate.schema import DEFAULTS, QUARANTINE, Thresholds
+from dqgate.schema import CURATED, DEFAULTS, QUARANTINE, Thresholds
 from dqgate.sources.landing import (
     landed_batches,
     missing_batches,
@@ -38,6 +39,10 @@ class Zones:
 
     base: str
 
+    @property
+    def landing(self) -> str:
+        return f"{self.base}/landing/transactions"
+
     @property
     def curated(self) -> str:
         return f"{self.base}/curated/transactions"
@@ -89,7 +94,8 @@ def run_batches(
     ``strict`` raises on an undersized batch before any output is written; otherwise
     such batches are left out and reported as failures, as are ``expected`` dates
     nothing has landed for.  ``gate`` holds back the curated rows of batches that
-    were not let out, by publishing after the decision instead of before it.
+    were not let out, by publishing after the decision instead of before it; what
+    such a batch had published earlier stays.
     """
     wanted = None if dates is None else list(dates)
     staged = written(classify(read_landing(spark, landing, wanted), rules))
@@ -111,28 +117,46 @@ def run_batches(
     # Reports are small; written out, the large plan behind them runs once, and the
     # stored reports can be the history and the target of the same run.
     new = written(quality_report(good, rules, limits))
-    _clear_repaired(spark, zones, new)
+    _clear_emptied(spark, zones.quarantine, new.where("invalid_count = 0"), QUARANTINE)
+    if not gate:
+        _clear_emptied(spark, zones.curated, new.where("valid_count = 0"), CURATED)
     reports = written(with_baseline(new, history, baseline=baseline))
     write_reports(reports, zones.reports)
 
-    decisions = decide(reports, limits)
-    final = without_review(decisions) if verdicts is None else merge_verdicts(decisions, verdicts)
-    final = route(final)
-    write_evaluated(evaluated(final), zones.evaluated)
+    final = _evaluate(reports, zones, verdicts, limits)
     if gate:
         write_curated(publish_gate(curated(good), final), zones.curated)
     return BatchRun(final, alerts(final), failure_alerts(missing, undersized))
 
 
-def _clear_repaired(spark: SparkSession, zones: Zones, reports: DataFrame) -> None:
-    """Empty the quarantine partitions of batches that now have no invalid row."""
-    stored = landed_batches(spark, zones.quarantine, "*.parquet")
-    clean = reports.where(F.col("invalid_count") == 0).select(F.col("source_date").alias("dt"))
-    # Dates only, and only of batches that went from bad to clean.
-    stale = stored.join(clean, "dt", "left_semi").select("dt").toLocalIterator()
-    clear_batches(spark, zones.quarantine, sorted(row["dt"] for row in stale), QUARANTINE)
+def evaluate_batches(
+    spark: SparkSession,
+    zones: Zones,
+    *,
+    dates: Sequence[str] | None = None,
+    verdicts: DataFrame | None = None,
+    limits: Thresholds = DEFAULTS,
+) -> DataFrame:
+    """Decide on stored reports alone, all of them or those of ``dates``."""
+    return _evaluate(read_reports(spark, zones.reports, dates), zones, verdicts, limits)
 
 
-def stored_history(spark: SparkSession, zones: Zones) -> DataFrame:
-    """Reports of earlier runs, as the baseline for the next one."""
-    return read_reports(spark, zones.reports)
+def _evaluate(
+    reports: DataFrame, zones: Zones, verdicts: DataFrame | None, limits: Thresholds
+) -> DataFrame:
+    decisions = decide(reports, limits)
+    final = without_review(decisions) if verdicts is None else merge_verdicts(decisions, verdicts)
+    final = route(final)
+    write_evaluated(evaluated(final), zones.evaluated)
+    return final
+
+
+def _clear_emptied(
+    spark: SparkSession, path: str, emptied: DataFrame, schema: StructType
+) -> None:
+    """Empty the stored partitions of batches that now have no row for them."""
+    stored = landed_batches(spark, path, "*.parquet")
+    emptied = emptied.select(F.col("source_date").alias("dt"))
+    # Dates only, and only of batches that had rows before.
+    stale = stored.join(emptied, "dt", "left_semi").select("dt").toLocalIterator()
+    clear_batches(spark, path, sorted(row["dt"] for row in stale), schema)

@@ -137,7 +137,7 @@ LINEITEM_RULES = {
 
 
 def _lineitem(spark, sf_dir):
-    rules = [Rule(code, severity, F.expr(sql)) for code, (severity, sql) in LINEITEM_RULES.items()]
+    rules = [Rule(code, severity, sql) for code, (severity, sql) in LINEITEM_RULES.items()]
     return cl.tag(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), rules)
 
 

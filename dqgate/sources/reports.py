@@ -2,15 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from dqgate.schema import EVALUATED, REPORT
 
 
-def read_reports(spark: SparkSession, path: str, schema: StructType = REPORT) -> DataFrame:
-    """Reports under ``path``, one-line or pretty-printed.  Absent fields are NULL."""
-    return spark.read.schema(schema).option("multiLine", True).json(path).select(*schema.names)
+def read_reports(
+    spark: SparkSession,
+    path: str,
+    dates: Sequence[str] | None = None,
+    schema: StructType = REPORT,
+) -> DataFrame:
+    """Reports under ``path``, one-line or pretty-printed.  Absent fields are NULL.
+
+    ``dates`` reads only the folders of these batches.
+    """
+    rows = spark.read.schema(schema).option("multiLine", True).json(path)
+    if dates is not None:
+        folder = "dt" if "dt" in rows.columns else "source_date"
+        rows = rows.where(F.col(folder).cast("string").isin(*dates))
+    return rows.select(*schema.names)
 
 
 def write_reports(reports: DataFrame, path: str) -> None:
@@ -30,7 +44,7 @@ def write_reports(reports: DataFrame, path: str) -> None:
 
 
 def read_evaluated(spark: SparkSession, path: str) -> DataFrame:
-    return read_reports(spark, path, EVALUATED)
+    return read_reports(spark, path, schema=EVALUATED)
 
 
 def write_evaluated(evaluated: DataFrame, path: str) -> None:

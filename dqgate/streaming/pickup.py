@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dqgate.plans.batch import BatchRun, Zones, run_batches, stored_history
+from dqgate.plans.batch import BatchRun, Zones, run_batches
 from dqgate.schema import DEFAULTS, Thresholds
 from dqgate.sources.landing import path_date
+from dqgate.sources.reports import read_reports
 
 FILES_PER_TRIGGER = 1000
 _LISTING = "path string, modificationTime timestamp, length bigint, content binary"
@@ -74,7 +75,7 @@ def run_available_now(
 def _history(spark: SparkSession, zones: Zones) -> DataFrame | None:
     """Reports written so far, or None before the first round has written any."""
     try:
-        return stored_history(spark, zones)
+        return read_reports(spark, zones.reports)
     except Exception as error:  # noqa: BLE001 - the reader has no narrower type for this
         if "PATH_NOT_FOUND" not in str(error):
             raise
