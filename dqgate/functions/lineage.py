@@ -32,6 +32,11 @@ def written(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, path: str) -> None:
+    """Free the space of a table made by ``written``, by writing no rows over it."""
+    spark.createDataFrame([], "released boolean").write.mode("overwrite").parquet(path)
+
+
 def join_small_keys(rows: DataFrame, keys: DataFrame, on: str, how: str) -> DataFrame:
     """Semi- or anti-join many ``rows`` with a per-batch table of ``keys``.
 

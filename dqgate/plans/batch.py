@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from dqgate.functions.lineage import written
+from dqgate.functions.lineage import release, work_dir, written
 from dqgate.operators.classify import classify, curated, quarantine
 from dqgate.operators.decide import (
     decide,
@@ -89,7 +89,7 @@ def run_batches(
     The text files are parsed once: the classified rows go to a Parquet table in the
     shared working folder, and the guard, the report and both outputs read from it
     only the columns they need.  The table also means that a lost executor costs a
-    re-read of some files, not a re-run of the job.
+    re-read of some files, not a re-run of the job.  It is emptied at the end.
 
     ``strict`` raises on an undersized batch before any output is written; otherwise
     such batches are left out and reported as failures, as are ``expected`` dates
@@ -98,34 +98,40 @@ def run_batches(
     such a batch had published earlier stays.
     """
     wanted = None if dates is None else list(dates)
-    staged = written(classify(read_landing(spark, landing, wanted), rules))
-
     landed = landed_batches(spark, landing)
     if wanted is not None:
         landed = landed.where(F.col("dt").isin(*wanted))
-    undersized = written(undersized_batches(staged, limits.min_rows, landed))
-    if strict:
-        require_min_rows(undersized)
-    good = staged if undersized.isEmpty() else without_batches(staged, undersized)
-
-    no_dates = undersized.select("dt").where(F.lit(False))
-    missing = no_dates if expected is None else missing_batches(expected, landed)
-
-    if not gate:
-        write_curated(curated(good), zones.curated)
-    write_quarantine(quarantine(good), zones.quarantine)
-    # Reports are small; written out, the large plan behind them runs once, and the
-    # stored reports can be the history and the target of the same run.
-    new = written(quality_report(good, rules, limits))
-    _clear_emptied(spark, zones.quarantine, new.where("invalid_count = 0"), QUARANTINE)
-    if not gate:
-        _clear_emptied(spark, zones.curated, new.where("valid_count = 0"), CURATED)
-    reports = written(with_baseline(new, history, baseline=baseline))
-    write_reports(reports, zones.reports)
-
-    final = _evaluate(reports, zones, verdicts, limits)
-    if gate:
-        write_curated(publish_gate(curated(good), final), zones.curated)
+
+    stage = work_dir(spark) + "/classified"
+    try:
+        staged = written(classify(read_landing(spark, landing, wanted), rules), stage)
+
+        undersized = written(undersized_batches(staged, limits.min_rows, landed))
+        if strict:
+            require_min_rows(undersized)
+        good = staged if undersized.isEmpty() else without_batches(staged, undersized)
+
+        if not gate:
+            write_curated(curated(good), zones.curated)
+        write_quarantine(quarantine(good), zones.quarantine)
+        # Reports are small; written out, the large plan behind them runs once, and the
+        # stored reports can be the history and the target of the same run.
+        new = written(quality_report(good, rules, limits))
+        reports = written(with_baseline(new, history, baseline=baseline))
+        write_reports(reports, zones.reports)
+
+        _clear_emptied(spark, zones.quarantine, reports.where("invalid_count = 0"), QUARANTINE)
+        if not gate:
+            _clear_emptied(spark, zones.curated, reports.where("valid_count = 0"), CURATED)
+
+        final = _evaluate(reports, zones, verdicts, limits)
+        if gate:
+            write_curated(publish_gate(curated(good), final), zones.curated)
+    finally:
+        release(spark, stage)
+
+    nothing = undersized.select("dt").where(F.lit(False))
+    missing = nothing if expected is None else missing_batches(expected, landed)
     return BatchRun(final, alerts(final), failure_alerts(missing, undersized))
 
 

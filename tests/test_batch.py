@@ -166,6 +166,18 @@ def test_guard_strict_and_backfill(spark, tmp_path):
     assert counts(read_curated(spark, zones.curated)) == {"2026-03-20": 50}
 
 
+def test_staging_is_emptied(spark, tmp_path, monkeypatch):
+    made = []
+    monkeypatch.setattr(
+        "dqgate.plans.batch.work_dir", lambda session: made.append(str(tmp_path / "work")) or made[-1]
+    )
+    landing = land(tmp_path / "landing", "2026-03-20", *lines(50, "2026-03-20"))
+    run = run_batches(spark, landing, Zones(str(tmp_path / "out")), limits=LOOSE)
+    assert spark.read.parquet(f"{made[0]}/classified").count() == 0
+    # What a run returns does not depend on it.
+    assert (run.final.count(), run.alerts.count(), run.failures.count()) == (1, 0, 0)
+
+
 def test_gate_and_verdicts(spark, tmp_path):
     landing = land(tmp_path / "landing", "2026-03-20", *lines(100, "2026-03-20"))
     land(tmp_path / "landing", "2026-03-21", *lines(100, "2026-03-21", bad=50))

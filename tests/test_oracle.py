@@ -44,8 +44,8 @@ def test_query_matches_sql(spark, duck, name):
     want = _rows(columns, cursor.fetchall())
     assert sorted(result.columns) == sorted(columns)
     assert len(got) == len(want)
-    # At sf0.1 no batch is below the small guard.
-    assert got or name == "undersized_batches"
+    # The small guard suits sf0.01; elsewhere all or no batches are below it.
+    assert got or name in ("undersized_batches", "guarded_rows")
     for g, w in zip(got, want):
         for a, b in zip(g, w):
             same = a == b or (isinstance(a, float) and math.isnan(a) and math.isnan(b))
