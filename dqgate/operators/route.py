@@ -35,17 +35,17 @@ MISSING_TEXT = "Landing file not found."
 PUBLISHABLE = ("ALLOW", "ALLOW_WITH_WARNING")
 
 
-def _by_decision(choices: dict[str, Column], default: Column | None = None) -> Column:
-    decision, chain = F.col("final_decision"), F
-    for name, value in choices.items():
-        chain = chain.when(decision == name, value)
-    return chain.otherwise(F.lit(None) if default is None else default)
+def _by_decision(choices: dict[str, Column]) -> Column:
+    """The value chosen for a row's final decision, NULL without one."""
+    decision = F.col("final_decision")
+    return F.coalesce(*[F.when(decision == name, value) for name, value in choices.items()])
 
 
 def route(final: DataFrame) -> DataFrame:
     """Adds the end state of each batch."""
     states = {name: F.lit(state) for name, (state, _, _) in ROUTES.items()}
-    return final.withColumn("terminal_state", _by_decision(states, F.lit(DEFAULT_STATE)))
+    state = F.coalesce(_by_decision(states), F.lit(DEFAULT_STATE))
+    return final.withColumn("terminal_state", state)
 
 
 def alerts(final: DataFrame) -> DataFrame:

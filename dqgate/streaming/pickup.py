@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dqgate.plans.batch import BatchRun, Zones, run_batches
@@ -76,7 +77,7 @@ def _history(spark: SparkSession, zones: Zones) -> DataFrame | None:
     """Reports written so far, or None before the first round has written any."""
     try:
         return read_reports(spark, zones.reports)
-    except Exception as error:  # noqa: BLE001 - the reader has no narrower type for this
-        if "PATH_NOT_FOUND" not in str(error):
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None

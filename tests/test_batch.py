@@ -135,6 +135,48 @@ def test_whole_job_and_repaired_rerun(spark, tmp_path):
     assert set(stored.values()) == {"PENDING_EVALUATION"}
 
 
+# Four days of 60,000 rows, each with one kind of fault, as SQL over the row number.
+SCENARIOS = {
+    "2026-03-20": ({}, "ALLOW"),
+    "2026-03-21": (
+        {
+            "storeid": "IF(id % 40 < 3, NULL, 'STORE_001')",
+            "productid": "IF(id % 40 BETWEEN 3 AND 5, NULL, 'PROD_0001')",
+        },
+        "ALLOW_WITH_WARNING",
+    ),
+    "2026-03-22": ({"transactionid": "concat('TXN', IF(id >= 58200, id - 58200, id))"}, "ESCALATE"),
+    "2026-03-23": (
+        {
+            "transactionid": "IF(id % 25 = 0, NULL, concat('TXN', id))",
+            "amount": "IF(id % 25 = 1, 'NOT_A_NUMBER', '10.5')",
+        },
+        "QUARANTINE",
+    ),
+}
+
+
+def test_four_scenarios_with_default_limits(spark, tmp_path):
+    zones = Zones(str(tmp_path))
+    for date, (faults, _) in SCENARIOS.items():
+        clean = {
+            "transactionid": "concat('TXN', id)", "transactionts": f"'{date}T10:20:30'",
+            "storeid": "'STORE_001'", "productid": "'PROD_0001'", "amount": "'10.5'",
+            "quantity": "CAST(id % 9 + 1 AS STRING)",
+        }
+        columns = [f"{sql} AS {name}" for name, sql in {**clean, **faults}.items()]
+        spark.range(0, 60000, 1, 2).selectExpr(*columns).write.option("header", True).csv(
+            f"{zones.landing}/dt={date}"
+        )
+    run = run_batches(spark, zones.landing, zones)
+    final = {r.source_date: r for r in run.final.collect()}
+    assert {d: r.final_decision for d, r in final.items()} == {d: s[1] for d, s in SCENARIOS.items()}
+    assert final["2026-03-21"].warning_rate == 0.15
+    assert final["2026-03-22"].duplicate_transactionid_rows_total == 3600
+    assert final["2026-03-23"].invalid_reason_breakdown == {"missing_transactionid": 2400, "missing_amount": 2400}
+    assert run.failures.count() == 0
+
+
 def test_evaluation_alone_from_stored_reports(spark, tmp_path):
     zones = Zones(str(tmp_path / "out"))
     write_reports(reports(spark, *[g[0] for g in GOLDEN]), zones.reports)
