@@ -104,12 +104,12 @@ def _exprs(*sql: str) -> list[Column]:
     return [F.expr(text) for text in sql]
 
 
-def _entries(names: Sequence[str], prefix: str) -> Column:
+def _entries(names: Sequence[str], prefix: str) -> str:
     """The non-zero counters of one report row as an array of (reason, n)."""
+    if not names:
+        return "CAST(array() AS ARRAY<STRUCT<reason: STRING, n: BIGINT>>)"
     counted = ", ".join(f"struct('{c}' AS reason, `{prefix}{c}` AS n)" for c in names)
-    if not counted:
-        return F.array().cast("array<struct<reason:string,n:bigint>>")
-    return F.expr(f"filter(array({counted}), entry -> entry.n > 0)")
+    return f"filter(array({counted}), entry -> entry.n > 0)"
 
 
 def quality_report(
@@ -186,11 +186,9 @@ def _assemble(
     landing_key: str,
 ) -> DataFrame:
     """Rates, maps and constants around the counters, in the report's column order."""
-    per_batch = per_batch.withColumns(
-        {"_broken": _entries(critical, "c_"), "_warned": _entries(warning, "w_")}
-    )
     computed = {
         "source_date": "dt",
+        "s3_key": f"format_string('{landing_key}', dt)",
         "batch_status": f"'{PENDING}'",
         "processed_at": "current_timestamp()",
         "invalid_rate": rate("invalid_count", "raw_count"),
@@ -205,8 +203,9 @@ def _assemble(
         "anomaly_high_quantity_rate": rate("anomaly_high_quantity_count", "valid_count"),
         "invalid_reason_breakdown": "map_from_entries(_broken)",
         "warning_reason_breakdown": "map_from_entries(_warned)",
+        "thresholds": limits.as_sql,
     }
-    columns = {name: F.expr(sql) for name, sql in computed.items()}
-    columns["s3_key"] = F.format_string(landing_key, "dt")
-    columns["thresholds"] = limits.as_struct()
-    return per_batch.select(*[columns.get(name, F.col(name)).alias(name) for name in REPORT.names])
+    with_maps = per_batch.selectExpr(
+        "*", f"{_entries(critical, 'c_')} AS _broken", f"{_entries(warning, 'w_')} AS _warned"
+    )
+    return with_maps.selectExpr(*[f"{computed.get(name, name)} AS {name}" for name in REPORT.names])

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, functions as F
 from pyspark.sql.types import (
     ArrayType,
     DoubleType,
@@ -128,14 +127,14 @@ class Thresholds:
     max_anomaly_rate: float = 0.05
     max_invalid_drift: float = 0.02
 
-    def as_struct(self) -> Column:
-        """The limits a report carries along."""
-        return F.struct(
-            F.lit(float(self.max_invalid_rate)).alias("max_invalid_rate"),
-            F.lit(float(self.max_warning_rate)).alias("max_warning_rate"),
-            F.lit(float(self.amount_anomaly)).alias("amount_anomaly_threshold"),
-            F.lit(int(self.quantity_anomaly)).alias("quantity_anomaly_threshold"),
-        )
+    @property
+    def as_sql(self) -> str:
+        """The limits a report carries along, as an SQL struct."""
+        return f"""named_struct(
+            'max_invalid_rate', {float(self.max_invalid_rate)!r}D,
+            'max_warning_rate', {float(self.max_warning_rate)!r}D,
+            'amount_anomaly_threshold', {float(self.amount_anomaly)!r}D,
+            'quantity_anomaly_threshold', {int(self.quantity_anomaly)})"""
 
 
 DEFAULTS = Thresholds()
