@@ -38,9 +38,10 @@ DECODED = "doc_id bigint, text string"
 # Fixed values of the vocabulary's format.
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _WORD_END = "</w>"
+_WIDE_SPACES = (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 #: str.split() also breaks at these, which the format does not take for white space.
 _NOT_SPACE = regex.compile("[\x1c-\x1f]")
-_SPACE = regex.compile(r"[\t-\r\x20\x85\xa0  -     　]+")
+_SPACE = regex.compile("[\\t-\\r\\x20" + "".join(map(chr, _WIDE_SPACES)) + "]+")
 
 
 def byte_letters() -> list[str]:

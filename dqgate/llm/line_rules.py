@@ -20,11 +20,11 @@ from dqgate.llm.common import HAS_WORD, computed, words
 
 SYMBOLS = r"[#*$%&|<>]"
 #: A line that says nothing by itself and ends open: no sentence end, colon or closing mark.
-PUNCTUATED = r"[.!?:;,…。！？\"'”’»)\]\x{2013}\x{2014}-][\x20\x09-\x0D]*$"
+PUNCTUATED = r"[.!?:;,…。！？\"'”’»)\]\x{2013}\x{2014}-][\x20\x09-\x0D]*\z"
 NAVIGATION = (
     r"(?i)^[\x20\x09-\x0D]*(home|menu|next|previous|back|top|log ?in|sign (in|up)|register|"
     r"contact( us)?|about( us)?|site ?map|skip to (main )?content|search|share|read more)"
-    r"[\x20\x09-\x0D]*([|>»/·•].*)?$"
+    r"[\x20\x09-\x0D]*([|>»/·•][^\n]*)?\z"
 )
 BOILERPLATE = (
     r"(?i)(javascript|cookie policy|use of cookies|uses cookies|privacy policy|terms of (use|service)|"
@@ -51,10 +51,10 @@ def line_passes(line: Column, rules: LineRules = LineRules()) -> Column:
     - shouting: a line with capitals has small letters too
     - navigation and boilerplate: fixed phrases
     """
-    few = rf"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+[\x20\x09-\x0D]*){{1,{rules.open_line_words - 1}}}$"
+    few = rf"^[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){{1,{rules.open_line_words - 1}}}\z"
     short_and_open = ~line.rlike(PUNCTUATED) & line.rlike(few)
     symbols = F.regexp_count(line, F.lit(SYMBOLS)) * 100 > F.length(line) * rules.max_line_symbols
-    shouting = ~line.rlike(r"\p{Ll}") & line.rlike(r"\p{Lu}.*\p{Lu}")
+    shouting = ~line.rlike(r"\p{Ll}") & line.rlike(r"\p{Lu}[^\n]*\p{Lu}")
     bad = short_and_open | symbols | shouting | line.rlike(NAVIGATION) | line.rlike(BOILERPLATE)
     return ~bad
 

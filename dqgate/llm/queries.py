@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dqgate.llm import bpe, line_rules, mixing
+from dqgate.llm import bpe, line_rules, mixing, near_dedup, sharding
 from dqgate.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.words_taken(table(spark, sf_dir, "documents"))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "kept"
+    )
+
+
 def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.clean_lines(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -43,9 +49,15 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
+    "op2_near_dedup": op2_near_dedup,
     "op4_line_rules": op4_line_rules,
     "op8_bpe": op8_bpe,
+    "op10_sharding": op10_sharding,
 }
 ORACLES: dict[str, str] = {}
