@@ -72,7 +72,50 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lo
 FROM counted
 """
 
+LINE_DEDUP = rf"""
+WITH lines AS (
+  SELECT doc_id, line, x, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS words,
+    row_number() OVER (PARTITION BY doc_id ORDER BY line) AS place
+  FROM (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS x,
+      unnest(range(0, len(string_split(text, chr(10))))) AS line FROM documents
+  ) WHERE regexp_matches(x, '[^\x20\x09-\x0D]')
+), met AS (
+  SELECT b.doc_id, b.line, b.words, b.place, a.doc_id AS other, b.place - a.place AS gap
+  FROM lines b JOIN lines a ON a.x = b.x AND (b.doc_id, b.place) > (a.doc_id, a.place)
+), islands AS (
+  SELECT *, place - row_number() OVER (PARTITION BY doc_id, other, gap ORDER BY place) AS island FROM met
+), runs AS (
+  SELECT *, sum(words) OVER (PARTITION BY doc_id, other, gap, island) AS run_words FROM islands
+), removed AS (
+  SELECT DISTINCT doc_id, line, words FROM runs WHERE run_words >= 50
+), by_doc AS (
+  SELECT doc_id, count(*) AS n, sum(words) AS words, string_agg(line::varchar, ',' ORDER BY line) AS which
+  FROM removed GROUP BY doc_id
+)
+SELECT d.doc_id, CASE WHEN text IS NULL THEN 0 ELSE len(string_split(text, chr(10))) END AS n_lines,
+  coalesce(n, 0) AS n_removed, coalesce(words, 0)::bigint AS removed_words, coalesce(which, '') AS removed_lines
+FROM documents d LEFT JOIN by_doc b ON b.doc_id = d.doc_id
+"""
+
+NEIGHBOURS = """
+WITH usable AS (
+  SELECT vec_id, embedding::double[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+  FROM usable q JOIN usable c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::int AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 20
+"""
+
 ORACLES: dict[str, str] = {
     "op2_near_dedup": NEAR_DEDUP,
     "op4_line_rules": LINE_RULES,
+    "op5_neighbours": NEIGHBOURS,
+    "op9_line_dedup": LINE_DEDUP,
 }

@@ -6,8 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dqgate.llm import bpe, line_rules, mixing, near_dedup, sharding
+from dqgate.llm import (
+    bpe,
+    importance,
+    licenses,
+    line_dedup,
+    line_rules,
+    mixing,
+    near_dedup,
+    neighbours,
+    sharding,
+    url_filter,
+)
 from dqgate.llm.common import table
+from dqgate.llm.oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +43,10 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.clean_lines(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -38,6 +54,18 @@ def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages"))
+
+
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary())
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
@@ -49,6 +77,10 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -56,8 +88,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_near_dedup": op2_near_dedup,
+    "op3_importance": op3_importance,
     "op4_line_rules": op4_line_rules,
+    "op5_neighbours": op5_neighbours,
+    "op6_url_filter": op6_url_filter,
+    "op7_licenses": op7_licenses,
     "op8_bpe": op8_bpe,
+    "op9_line_dedup": op9_line_dedup,
     "op10_sharding": op10_sharding,
 }
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "QUERIES"]
