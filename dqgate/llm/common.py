@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -14,6 +17,26 @@ HAS_WORD = r"[^\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Have Spark send this package to its Python workers, which need not have it installed.
+
+    Once per application; Spark serves the archive to the executors itself.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="dqgate-")) / "dqgate.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -38,6 +61,29 @@ def computed(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(row)))
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
+    """``docs`` with its columns named by number, out of the way of other names, and each by its old name."""
+    names = docs.columns
+    own = [f"_c{i}" for i in range(len(names))]
+    return docs.toDF(*own), {name: F.col(c) for name, c in reversed(list(zip(names, own)))}
+
+
+def restored(rows: DataFrame, docs: DataFrame, text: Column) -> DataFrame:
+    """The columns of ``docs`` out of ``rows`` (from :func:`numbered`), with another text.
+
+    ``n_chars``, where there is such a column, is counted again.
+    """
+    columns = []
+    for i, field in enumerate(docs.schema.fields):
+        value = F.col(f"_c{i}")
+        if field.name == "text":
+            value = text
+        elif field.name == "n_chars":
+            value = F.length(text).cast(field.dataType)
+        columns.append(value.alias(field.name))
+    return rows.select(*columns)
+
+
 def ranked(df: DataFrame, order: Sequence[str], name: str = "rank") -> DataFrame:
     """``df`` with the 0-based global position of each row in ``order``, without a single task.
 
@@ -62,6 +108,6 @@ def ranked(df: DataFrame, order: Sequence[str], name: str = "rank") -> DataFrame
 
 
 __all__ = [
-    "HAS_WORD", "SPACE", "WORD", "computed", "lower_ascii", "ranked", "table", "words",
-    "work_dir", "written",
+    "HAS_WORD", "SPACE", "WORD", "computed", "lower_ascii", "numbered", "ranked", "restored",
+    "ship_package", "table", "words", "work_dir", "written",
 ]

@@ -33,10 +33,11 @@ class Resampling:
     """``max_target`` bounds the labelled documents of the target model.
 
     ``keep_percent`` of the documents are drawn; None takes the share of labelled
-    documents whose quality is 1.
+    documents whose quality is 1.  With many more buckets the models would know the
+    sample's own word pairs and rank other good text lower.
     """
 
-    buckets: int = 1 << 16
+    buckets: int = 1 << 14
     max_target: int = 20_000
     keep_percent: float | None = None
     smoothing: float = 1.0

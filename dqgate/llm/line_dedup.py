@@ -29,16 +29,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from dqgate.llm.common import HAS_WORD, WORD, ranked, written
+from dqgate.llm.common import HAS_WORD, WORD, computed, numbered, ranked, restored, written
 
 MIN_WORDS = 50
 
 
-def doc_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+def doc_key(doc_id: Column, text: Column) -> Column:
     """A document's place in the order of documents, as one value without NULL."""
     return F.struct(
-        F.col(doc_id).isNull().alias("last"),
-        F.coalesce(F.col(doc_id).cast("bigint"), F.lit(0)).alias("id"),
+        doc_id.isNull().alias("last"),
+        F.coalesce(doc_id.cast("bigint"), F.lit(0)).alias("id"),
         F.xxhash64(text).alias("hash"),
     )
 
@@ -47,7 +47,7 @@ def spoken_lines(docs: DataFrame) -> DataFrame:
     """``doc, at, line, words, h1, h2``: the lines with a word, numbered by ``at`` in their text."""
     lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(x.alias("x"), i.alias("i")))
     spoken = F.filter(lines, lambda s: s["x"].rlike(HAS_WORD))
-    numbered = docs.select(doc_key().alias("doc"), F.posexplode(spoken).alias("at", "_s"))
+    numbered = docs.select(doc_key(F.col("doc_id"), F.col("text")).alias("doc"), F.posexplode(spoken).alias("at", "_s"))
     return numbered.select(
         "doc", "at", F.col("_s.i").alias("line"),
         F.regexp_count("_s.x", F.lit(WORD)).cast("long").alias("words"),
@@ -146,7 +146,7 @@ def line_report(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_lines, n_removed, removed_words, removed_lines``."""
     removed = repeats_by_document(docs, min_words)
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long")
-    rows = docs.select("doc_id", doc_key().alias("doc"), n_lines.alias("n_lines"))
+    rows = docs.select("doc_id", doc_key(F.col("doc_id"), F.col("text")).alias("doc"), n_lines.alias("n_lines"))
     return rows.join(removed, "doc", "left").select(
         "doc_id", "n_lines",
         F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_removed"),
@@ -158,11 +158,13 @@ def line_report(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the lines of later copies deleted from ``text``; all columns stay.
 
-    A text all of whose lines go becomes empty.
+    ``n_chars``, where there is such a column, is counted again.  A document that loses
+    lines and has no word left is left out.
     """
     removed = repeats_by_document(docs, min_words).select("doc", "lines")
-    rows = docs.select(F.struct("*").alias("_row"), doc_key().alias("doc"))
-    kept = F.filter(F.split("_row.text", "\n"), lambda x, i: ~F.array_contains(F.col("lines"), i))
-    text = F.when(F.col("lines").isNull(), F.col("_row.text")).otherwise(F.array_join(kept, "\n"))
-    joined = rows.join(removed, "doc", "left")
-    return joined.select(F.col("_row").withField("text", text).alias("_row")).select("_row.*")
+    rows, old = numbered(docs)
+    met = rows.withColumn("doc", doc_key(old["doc_id"], old["text"])).join(removed, "doc", "left")
+    left = F.filter(F.split(old["text"], "\n"), lambda x, i: ~F.array_contains(F.col("lines"), i))
+    loses = F.col("lines").isNotNull()
+    found = computed(met, _left=F.when(loses, F.array_join(left, "\n")).otherwise(old["text"]))
+    return restored(found.where(~loses | F.col("_left").rlike(HAS_WORD)), docs, F.col("_left"))

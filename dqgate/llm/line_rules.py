@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from dqgate.llm.common import HAS_WORD, computed, words
+from dqgate.llm.common import HAS_WORD, computed, numbered, restored, words
 
 SYMBOLS = r"[#*$%&|<>]"
 #: A line that says nothing by itself and ends open: no sentence end, colon or closing mark.
@@ -59,15 +59,31 @@ def line_passes(line: Column, rules: LineRules = LineRules()) -> Column:
     return ~bad
 
 
+STATISTICS = (
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lost_chars", "base_failed", "kept",
+)
+
+
 def clean_lines(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): statistics, the cleaned text, and the verdict.
+    """Per row of ``docs``: ``doc_id``, the cleaned ``text``, and :data:`STATISTICS`."""
+    rows = docs.select("doc_id", F.col("text").alias("_text"))
+    return _judged(rows, rules).select("doc_id", "text", *STATISTICS)
+
 
-    Returns ``doc_id, text, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    n_lost_chars, base_failed, kept``.
+def cleaned_documents(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
+    """The documents that pass, with all columns of ``docs`` and the cleaned ``text``.
+
+    ``n_chars``, where there is such a column, is counted again.
     """
-    text = F.coalesce("text", F.lit(""))
+    rows, old = numbered(docs)
+    kept = _judged(rows.withColumn("_text", old["text"]), rules).where("kept")
+    return restored(kept, docs, F.col("text"))
+
+
+def _judged(rows: DataFrame, rules: LineRules) -> DataFrame:
+    """``rows`` with the cleaned ``text`` of their ``_text``, and the statistics."""
     split = computed(
-        docs.select("doc_id", text.alias("_text")),
+        rows.withColumn("_text", F.coalesce("_text", F.lit(""))),
         _words=words(F.col("_text")),
         _lines=F.split("_text", "\n"),
     )
@@ -93,15 +109,13 @@ def clean_lines(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
         F.col("n_repeat_words") * 100 > F.col("n_words") * rules.max_repeated_words
     )
     lost = (F.col("_all") - F.col("_left")).cast("long")
+    few_lost = lost * 100 <= F.col("_all") * rules.max_lost_text
     return (
         starts.withColumn("n_repeat_words", _covered(F.col("_starts")).cast("long"))
         .withColumn("n_lost_chars", lost)
         .withColumn("base_failed", failed)
-        .select(
-            "doc_id", "text", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-            "n_repeat_words", "n_lost_chars", "base_failed",
-            (~F.col("base_failed") & (lost * 100 <= F.col("_all") * rules.max_lost_text)).alias("kept"),
-        )
+        .withColumn("kept", ~F.col("base_failed") & few_lost)
+        .select(*[c for c in rows.columns if c != "_text"], "text", *STATISTICS)
     )
 
 

@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from dqgate.llm.common import WORD, computed, ranked, written
+from dqgate.llm.common import WORD, computed, numbered, ranked, restored, written
 
 
 @dataclass(frozen=True)
@@ -210,25 +210,53 @@ def _prepared(docs: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame, DataFram
 
 
 def mixed_blocks(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """The mix: ``shard, slot, source, block, epoch, doc_id, first, text``.
+    """The mix as an index: ``shard, slot, source, block, epoch, doc_id, text_hash, first, words``.
 
-    One row per piece of a document in a slot; ``text`` has the piece's words with the
-    white space after them, ``first`` is the piece's first word within its document.
+    One row per piece of a document in a slot: its ``words`` words from ``first`` on.
     """
-    _, _, taken = _prepared(docs, mix)
-    parts = computed(packed(sized(docs), mix), _words=tokens(F.col("text"))).drop("text")
-    cut = pieces(parts, mix).select(
-        "doc_id", "source", "block", "first",
-        F.array_join(F.slice("_words", (F.col("first") + 1).cast("int"), F.col("words").cast("int")), "").alias("text"),
+    sizes, _, taken = _prepared(docs, mix)
+    return _meet(taken, pieces(packed(sizes, mix), mix)).select(
+        "t.shard", "t.slot", "t.source", "t.block", "t.epoch", "c.doc_id", "c.text_hash", "c.first", "c.words"
     )
-    return _meet(taken, cut).select(
-        "t.shard", "t.slot", "t.source", "t.block", "t.epoch", "c.doc_id", "c.first", "c.text"
+
+
+def mixed_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
+    """The mix as documents: a row for each document and epoch, with the words taken then.
+
+    All columns of ``docs`` stay; ``n_chars``, where there is such a column, is counted
+    again.  Texts are joined to their pieces once, and cut between words; what lies
+    between two words goes with the first of them.
+    """
+    sizes, _, taken = _prepared(docs, mix)
+    parts = _meet(taken, pieces(packed(sizes, mix), mix)).groupBy(
+        "c.doc_id", "c.text_hash", "c.source", "c.start", "c.size", "t.epoch"
+    ).agg(
+        F.sort_array(F.collect_list(F.struct("first", "words"))).alias("parts"), F.sum("words").alias("_taken")
+    )
+    p = parts.select("doc_id", "text_hash", "source", "parts", (F.col("_taken") == F.col("size")).alias("whole")).alias("p")
+    rows, old = numbered(docs)
+    rows = rows.select("*", F.xxhash64(old["text"]).alias("_h"), old["doc_id"].alias("_id"), old["source"].alias("_s"))
+    equal_rows = sizes.where("size > 0").groupBy("doc_id", "text_hash", "source").count().where("count > 1")
+    if not equal_rows.isEmpty():
+        # Each of them has its own places in the stream; the text is needed once.
+        rows = rows.dropDuplicates(["_id", "_s", "_h"])
+    same = (
+        (F.col("_h") == F.col("p.text_hash"))
+        & F.col("_id").eqNullSafe(F.col("p.doc_id"))
+        & F.col("_s").eqNullSafe(F.col("p.source"))
+    )
+    met = rows.join(p, same)
+    cut = computed(met, _words=F.when(F.col("whole"), F.array().cast("array<string>")).otherwise(tokens(old["text"])))
+    taken_words = F.flatten(
+        F.transform("parts", lambda x: F.slice("_words", (x["first"] + 1).cast("int"), x["words"].cast("int")))
     )
+    made = computed(cut, _text=F.when(F.col("whole"), old["text"]).otherwise(F.array_join(taken_words, "")))
+    return restored(made, docs, F.col("_text"))
 
 
 def tokens(text: Column) -> Column:
     """Words with the white space after them; white space before the first stays with it."""
-    return F.regexp_extract_all(text, F.lit(rf"(?:^[\x20\x09-\x0D]+)?{WORD}[\x20\x09-\x0D]*"), 0)
+    return F.regexp_extract_all(text, F.lit(rf"(?:^[\x20\x09-\x0D]+)?{WORD}[\x20\x09-\x0D]*"), F.lit(0))
 
 
 def _meet(taken: DataFrame, cut: DataFrame) -> DataFrame:

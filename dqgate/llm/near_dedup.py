@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from dqgate.llm.common import written
+from dqgate.llm.common import numbered, restored, written
 from dqgate.llm.textarrays import mixed, shingle_sets
 
 SHINGLE = 5
@@ -287,3 +287,19 @@ def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
         component_id.alias("component_id"),
         F.col("doc_id").eqNullSafe(component_id).alias("kept"),
     )
+
+
+def deduplicated(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
+    """``docs`` with one document of each component, the one with the smallest id; all columns stay.
+
+    Of rows with equal doc_id and text one stays.
+    """
+    found = near_duplicates(docs, banding).where("kept")
+    kept = written(found.groupBy("doc_id", "text_hash").agg(F.count("*").alias("_rows")))
+    rows, old = numbered(docs)
+    d, k = rows.withColumn("_h", F.xxhash64(old["text"])).withColumn("_id", old["doc_id"]).alias("d"), kept.alias("k")
+    same = (F.col("d._h") == F.col("k.text_hash")) & F.col("d._id").eqNullSafe(F.col("k.doc_id"))
+    found = d.join(k, same, "left_semi")
+    if not kept.where("_rows > 1").isEmpty():
+        found = found.dropDuplicates(["_id", "_h"])
+    return restored(found, docs, old["text"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -18,7 +19,7 @@ from dqgate.llm import (
     sharding,
     url_filter,
 )
-from dqgate.llm.common import table
+from dqgate.llm.common import ship_package, table
 from dqgate.llm.oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,7 +86,16 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {
+def _shipping(query: Query) -> Query:
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+_ALL: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_near_dedup": op2_near_dedup,
     "op3_importance": op3_importance,
@@ -97,5 +107,6 @@ QUERIES: dict[str, Query] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_sharding": op10_sharding,
 }
+QUERIES: dict[str, Query] = {name: _shipping(query) for name, query in _ALL.items()}
 
 __all__ = ["ORACLES", "QUERIES"]
