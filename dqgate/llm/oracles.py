@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dqgate.llm.licenses import TEMPLATES
+
 _WORDS = r"regexp_extract_all(coalesce({text}, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = "translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -113,9 +115,37 @@ WITH usable AS (
 SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 20
 """
 
+_TEMPLATES = ", ".join(f"('{name}', '{text}')" for name, text in TEMPLATES.items())
+_TOKENS = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)*')"
+
+LICENSES = f"""
+WITH templates(name, text) AS (VALUES {_TEMPLATES}),
+split AS (SELECT doc_id, {_TOKENS} AS w FROM documents),
+own AS (
+  SELECT DISTINCT name, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+  FROM (SELECT name, {_TOKENS} AS w FROM templates)
+), sizes AS (
+  SELECT name, count(*) AS n FROM own GROUP BY name
+), said AS (
+  SELECT doc_id, i - 1 AS word, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM split)
+), met AS (
+  SELECT doc_id, name, n, count(DISTINCT s) AS found, min(word) AS word
+  FROM said JOIN own USING (s) JOIN sizes USING (name)
+  GROUP BY doc_id, name, n HAVING count(DISTINCT s) * 100 >= n * 75
+), listed AS (
+  SELECT doc_id, count(*) AS n,
+    string_agg(name || ':' || found || '/' || n || '@' || word, ',' ORDER BY name) AS licenses
+  FROM met GROUP BY doc_id
+)
+SELECT s.doc_id, len(w) AS n_words, coalesce(n, 0) AS n_licenses, coalesce(licenses, '') AS licenses
+FROM split s LEFT JOIN listed l ON l.doc_id = s.doc_id
+"""
+
 ORACLES: dict[str, str] = {
     "op2_near_dedup": NEAR_DEDUP,
     "op4_line_rules": LINE_RULES,
     "op5_neighbours": NEIGHBOURS,
+    "op7_licenses": LICENSES,
     "op9_line_dedup": LINE_DEDUP,
 }

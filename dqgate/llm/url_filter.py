@@ -93,13 +93,15 @@ def path_words(path: Column) -> Column:
 
 
 def word_counts(pages: DataFrame, names: DataFrame) -> DataFrame:
-    """``word, n``: how often words occur in the pages' text and as separate parts of urls.
+    """``word, n``: how often words occur in the pages' text, in paths and between hyphens.
 
-    Words of two letters at least; single letters make any split possible and say nothing.
+    A host name without hyphens may be several words run together, so it is no evidence
+    of one.  Words of two letters at least; single letters make any split possible and say nothing.
     """
     text = F.regexp_replace(F.coalesce("html", F.lit("")), r"(?s)<script.*?</script>|<style.*?</style>|<[^>]*>", " ")
     said = pages.select(F.explode(runs_of_letters(text)).alias("word"))
-    parts = names.select(F.explode(F.concat(runs_of_letters(F.col("host")), runs_of_letters(F.col("path")))).alias("word"))
+    apart = F.array_join(F.regexp_extract_all("host", F.lit(r"[^.]*-[^.]*"), F.lit(0)), ".")
+    parts = names.select(F.explode(F.concat(runs_of_letters(apart), runs_of_letters(F.col("path")))).alias("word"))
     lexicon = F.explode(F.array(*[F.lit(w) for w in UNWANTED]))
     counted = said.unionByName(parts).groupBy("word").agg(F.count("*").alias("n"))
     extra = pages.sparkSession.range(1).select(lexicon.alias("word"), F.lit(LEXICON_COUNT).cast("long").alias("n"))
