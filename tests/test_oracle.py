@@ -7,7 +7,9 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from dqgate.plans.oracles import ORACLES
+from dqgate.plans.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
@@ -32,14 +34,14 @@ def _rows(names, rows):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
-    result = queries()[name](spark, SF_DIR)
+    result = QUERIES[name](spark, SF_DIR)
     got = _rows(result.columns, [tuple(r) for r in result.collect()])
-    cursor = duck.execute(oracle_sql()[name])
+    cursor = duck.execute(ORACLES[name])
     columns = [c[0] for c in cursor.description]
     want = _rows(columns, cursor.fetchall())
     assert sorted(result.columns) == sorted(columns)
@@ -59,7 +61,7 @@ def test_entry(spark):
 def test_decisions_over_all_batches(spark):
     if not SF_DIR.endswith(("sf0.01", "sf0.1")):
         pytest.skip("totals are known for sf0.01 and sf0.1")
-    totals = queries()["decisions"](spark, SF_DIR).groupBy("decision").count().collect()
+    totals = QUERIES["decisions"](spark, SF_DIR).groupBy("decision").count().collect()
     assert {r["decision"]: r["count"] for r in totals} == {
         "ALLOW_WITH_WARNING": 8, "ESCALATE": 8, "QUARANTINE": 7, "ALLOW": 7,
     }
