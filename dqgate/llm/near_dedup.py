@@ -8,11 +8,12 @@ probability (1 - 0.75**5)**50, about one in a million.
 
 Documents with the same set form one class and are handled as one from then on.
 Candidate pairs first compare short sketches (a bound six standard errors below the
-threshold), then their full sets.  Inside a bucket no more pairs are looked at than
-needed: each class first meets its most frequent neighbour; links join classes into
-components; only pairs of a bucket whose components still differ are then compared, all
-of them.  Components come from alternating star contractions, a fixed number of joins a
-round.
+threshold), then their full sets.  Buckets are never paired out: each class meets the most
+central members of its buckets, one after the other, and links join classes into
+components.  Classes whose buckets still hold several components after that are grouped
+by an exact prefix filter (similar sets share one of their rarest shingles) and compared
+across components within a group, in blocks of fixed size that return links only.  Components come from alternating star contractions,
+a fixed number of joins a round.
 
 Defined results: NULL or blank text has no shingles, and is its own component; a text of
 fewer than ``SHINGLE`` words has one shingle; rows with one text are linked, also with
@@ -33,6 +34,13 @@ from dqgate.llm.common import numbered, restored, written
 from dqgate.llm.textarrays import mixed, shingle_sets
 
 SHINGLE = 5
+#: Hash cells in which shingles are counted, to tell common ones from rare ones.
+CELL_BITS = 18
+#: Central members of a bucket that the others are compared with, one after the other.
+CENTRES = 2
+#: Classes of a family that a task compares with as many others.
+BLOCK = 512
+CELLS = 1 << CELL_BITS
 
 
 @dataclass(frozen=True)
@@ -115,58 +123,189 @@ def _hashed(docs: DataFrame) -> DataFrame:
 
 
 def buckets(classes: DataFrame) -> DataFrame:
-    """``key, class, n, before, before_n``: members of buckets that hold several classes.
+    """``key, class, n, size``: members of the buckets that hold several (``size``) classes.
 
-    ``before`` is the member with the next smaller set; NULL for the first.
+    Buckets are counted before their members are looked up.
     """
     members = classes.select("class", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
-    by_size = Window.partitionBy("key").orderBy("n", "class")
-    return (
-        members.withColumn("before", F.lag("class").over(by_size))
-        .withColumn("before_n", F.lag("n").over(by_size))
-        .withColumn("_after", F.lead("class").over(by_size))
-        .where("before is not null or _after is not null")
-        .drop("_after")
-    )
+    by_key = Window.partitionBy("key").orderBy("class")
+    several = members.withColumn("_b", F.lag("class").over(by_key)).withColumn("_a", F.lead("class").over(by_key))
+    several = written(several.where("_a is not null or _b is not null").select("key", "class", "n"))
+    return several.join(several.groupBy("key").agg(F.count("*").alias("size")), "key")
+
+
+def with_centres(members: DataFrame) -> DataFrame:
+    """``key, class, n, centres``: the ``CENTRES`` most central members of each bucket, in order.
+
+    A class is the more central the more members its buckets have: what copies were made
+    from comes before the copies, which are less like one another.
+    """
+    weight = members.groupBy("class").agg(F.sum("size").alias("weight"))
+    placed = members.join(weight, "class")
+    bucket = Window.partitionBy("key").orderBy(F.desc("weight"), "class")
+    placed = placed.withColumn("_at", F.row_number().over(bucket))
+    whole = Window.partitionBy("key")
+    one = F.struct("class", "n")
+    centres = F.array(*[F.max(F.when(F.col("_at") == i, one)).over(whole) for i in range(1, CENTRES + 1)])
+    return placed.select("key", "class", "n", centres.alias("centres"))
 
 
 def _sizes_allow(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def best_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: each class with the neighbour that comes before it in most buckets."""
-    near = members.where(F.col("before").isNotNull() & _sizes_allow(F.col("n"), F.col("before_n"), percent))
-    counted = near.groupBy("class", "before").agg(F.count("*").alias("_n"))
-    best = counted.groupBy("class").agg(F.max(F.struct("_n", "before")).alias("_best"))
-    return _ordered_pairs(best.select(F.col("class").alias("a"), F.col("_best.before").alias("b")))
+def central_pairs(members: DataFrame, which: int, percent: int, component: DataFrame | None = None) -> DataFrame:
+    """``a, b``: each class with the centre (number ``which``) that it meets in most buckets.
 
-
-def _ordered_pairs(pairs: DataFrame) -> DataFrame:
+    One pair for each class at most; none within one ``component``.
+    """
+    near = members.select("class", "n", F.get("centres", F.lit(which)).alias("_c")).where(
+        (F.col("_c.class") != F.col("class")) & _sizes_allow(F.col("n"), F.col("_c.n"), percent)
+    )
+    counted = near.groupBy("class", F.col("_c.class").alias("other")).agg(F.count("*").alias("_n"))
+    if component is not None:
+        mine = component.select("class", F.col("component").alias("_mine"))
+        its = component.select(F.col("class").alias("other"), F.col("component").alias("_its"))
+        counted = counted.join(mine, "class", "left").join(its, "other", "left").where(
+            F.coalesce("_mine", "class") != F.coalesce("_its", "other")
+        )
+    best = counted.groupBy("class").agg(F.max(F.struct("_n", "other")).alias("_best"))
+    pairs = best.select(F.col("class").alias("a"), F.col("_best.other").alias("b"))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def open_pairs(members: DataFrame, component: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: all pairs that share a bucket, may be similar by size, and are not connected yet."""
+def open_members(members: DataFrame, component: DataFrame) -> DataFrame:
+    """``class, n, component`` of the members of buckets that are not all connected."""
     known = members.join(component, "class", "left").select(
         "key", "class", "n", F.coalesce("component", "class").alias("component")
     )
-    mixed_keys = (
+    several = (
         known.groupBy("key")
         .agg(F.min("component").alias("_a"), F.max("component").alias("_b"))
         .where("_a != _b")
         .select("key")
     )
-    left = known.join(mixed_keys, "key", "left_semi")
-    a, b = left.alias("a"), left.alias("b")
-    met = a.join(
-        b,
-        (F.col("a.key") == F.col("b.key"))
-        & (F.col("a.class") < F.col("b.class"))
-        & (F.col("a.component") != F.col("b.component"))
-        & _sizes_allow(F.col("a.n"), F.col("b.n"), percent),
+    return known.join(several, "key", "left_semi").select("class", "n", "component").distinct()
+
+
+def shingle_weights(sets: DataFrame) -> np.ndarray:
+    """How common shingles are among ``sets``, by hash cell; ``CELLS`` numbers."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros(CELLS, dtype=np.int64)
+        for batch in batches:
+            for found in batch.column("shingles"):
+                totals += np.bincount(_cells(_shingles(found)), minlength=CELLS)
+        used = np.flatnonzero(totals)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(totals[used])], names=["cell", "n"])
+
+    cells = sets.select("shingles").mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n"))
+    weights = np.zeros(CELLS, dtype=np.int64)
+    for cell, n in cells.collect():  # CELLS rows at most
+        weights[cell] = n
+    return weights
+
+
+def _cells(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+
+
+def _shingles(value: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), dtype=np.uint64)
+
+
+def rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """``class, shingle``: of each set its rarest shingles, as many as a similar set cannot all lack.
+
+    Sets of n shingles that are similar enough share ``percent`` of n at least, so they
+    have one of the first n - that + 1 in common, in any order that is the same for all.
+    With the rarest first, what many texts have in common comes last and joins nothing.
+    """
+    shared = sets.sparkSession.sparkContext.broadcast(shingle_weights(sets))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, 1000):
+                part = batch.slice(first, 1000)
+                rows = []
+                for found in part.column("shingles"):
+                    own = _shingles(found)
+                    order = np.lexsort((own, shared.value[_cells(own)]))
+                    rows.append(own[order[: len(own) - -(-len(own) * percent // 100) + 1]])
+                owner = np.repeat(np.arange(part.num_rows), [len(r) for r in rows])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("class").take(pa.array(owner)), pa.array(np.concatenate(rows).view(np.int64))],
+                    names=["class", "shingle"],
+                )
+
+    return sets.select("class", "shingles").mapInArrow(run, "class binary, shingle bigint")
+
+
+def candidate_groups(still_open: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``class, n, component, family``: open classes by the family they share rare shingles in.
+
+    Similar classes are in one family; each shingle links its classes to one of them, so
+    the links are no more than the shingles kept.
+    """
+    rare = rare_shingles(sets.join(still_open.select("class"), "class", "left_semi"), percent)
+    rows = written(rare)
+    first = rows.groupBy("shingle").agg(F.min("class").alias("a"), F.max("class").alias("_z")).where("a != _z")
+    edges = rows.join(first.select("shingle", "a"), "shingle").where("a != class").select("a", F.col("class").alias("b"))
+    family = written(components(edges)).withColumnRenamed("component", "family")
+    return still_open.join(family, "class")
+
+
+def family_links(members: DataFrame, sets: DataFrame, sketches: DataFrame, banding: Banding) -> DataFrame:
+    """``a, b``: links between different components of a family, all of them but repeats.
+
+    Families are cut into blocks in the order of components, and tasks compare two blocks
+    at a time: sketches first, then full sets.  Pairs of blocks within one component are
+    left out.  Only links are returned, and of a component one for each class at most.
+    """
+    in_order = Window.partitionBy("family").orderBy("component", "class")
+    placed = members.withColumn("block", F.floor((F.row_number().over(in_order) - 1) / BLOCK).cast("int"))
+    placed = written(placed)
+    spans = placed.groupBy("family", "block").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    x, y = spans.alias("x"), spans.alias("y")
+    meet = x.join(y, (F.col("x.family") == F.col("y.family")) & (F.col("x.block") <= F.col("y.block"))).where(
+        "not (x.lo = y.hi and x.hi = y.hi and x.lo = y.lo)"
+    )
+    meet = written(meet.select("x.family", F.col("x.block").alias("i"), F.col("y.block").alias("j")))
+    ends = meet.select("family", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
+    content = placed.join(sketches, "class").join(sets, "class")
+    rows = ends.join(content, ["family", "block"]).select(
+        "family", "i", "j", "block", "class", "n", "component", "sketch", "shingles"
     )
-    return met.select(F.col("a.class").alias("a"), F.col("b.class").alias("b")).distinct()
+    percent, least = banding.percent, banding.least_agreeing
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        side = table.column("block").to_numpy()
+        first = np.flatnonzero(side == table.column("i")[0].as_py())
+        second = np.flatnonzero(side == table.column("j")[0].as_py())
+        names, groups = table.column("class").to_pylist(), table.column("component").to_pylist()
+        number = {c: k for k, c in enumerate(dict.fromkeys(groups))}
+        group = np.array([number[c] for c in groups])
+        sizes = table.column("n").to_numpy()
+        own = [_shingles(v) for v in table.column("shingles")]
+        marks = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype=np.uint8).reshape(len(own), -1)
+        out_a, out_b = [], []
+        for i in first:
+            near = (np.minimum(sizes[i], sizes[second]) * 100 >= np.maximum(sizes[i], sizes[second]) * percent)
+            rest = second[near & (group[second] != group[i])]
+            rest = rest[(marks[rest] == marks[i]).sum(axis=1) >= least]
+            done: set[int] = set()
+            for j in rest:
+                if group[j] in done:
+                    continue
+                shared = len(np.intersect1d(own[i], own[j], assume_unique=True))
+                if 100 * shared >= percent * (len(own[i]) + len(own[j]) - shared):
+                    done.add(group[j])
+                    out_a.append(names[i])
+                    out_b.append(names[j])
+        return pa.table([pa.array(out_a, pa.binary()), pa.array(out_b, pa.binary())], names=["a", "b"])
+
+    return rows.groupBy("family", "i", "j").applyInArrow(compare, "a binary, b binary")
 
 
 def sketch_filter(pairs: DataFrame, sketches: DataFrame, banding: Banding) -> DataFrame:
@@ -256,7 +395,7 @@ def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
     signed = written(signatures(docs, banding))
     filled = signed.where("class is not null")
     classes = filled.dropDuplicates(["class"]).select("class", "n_shingles", "bands")
-    members = written(buckets(classes))
+    members = written(with_centres(written(buckets(classes))))
     named = filled.groupBy("class").agg(
         F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "text_hash")).alias("_row")
     )
@@ -270,10 +409,15 @@ def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
     def check(pairs: DataFrame) -> DataFrame:
         return written(confirmed(written(sketch_filter(pairs, sketches, banding)), sets, banding.percent))
 
-    links = check(best_pairs(members, banding.percent))
-    first = written(components(links))
-    more = check(open_pairs(members, first, banding.percent))
-    found = written(components(links.unionByName(more)))
+    links = check(central_pairs(members, 0, banding.percent))
+    found = written(components(links))
+    for which in range(1, CENTRES):
+        links = links.unionByName(check(central_pairs(members, which, banding.percent, found)))
+        found = written(components(links))
+    still_open = written(open_members(members, found))
+    families = written(candidate_groups(still_open, sets, banding.percent))
+    links = links.unionByName(written(family_links(families, sets, sketches, banding)))
+    found = written(components(links))
 
     ids = named.join(found, "class", "left").select(
         "class", "first_id", F.coalesce("component", "class").alias("component")
