@@ -16,6 +16,14 @@ _EDGE = r"[\x00-\x20\x7f]*"
 _WHOLE = rf"^{_EDGE}[+-]?0*[0-9]{{1,10}}{_EDGE}$"
 _WITH_FRACTION = rf"^{_EDGE}([+-]?)0*([0-9]{{0,10}})\.[0-9]*{_EDGE}$"
 
+# Digits with at most one point, an exponent, a float suffix (decimal or hexadecimal); or a
+# word for NaN or infinity.
+_NUMBER = (
+    rf"(?i)^{_EDGE}[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|0x[0-9a-f]*\.?[0-9a-f]*p[+-]?[0-9]+)"
+    rf"[df]?{_EDGE}$"
+)
+_NUMBER_WORD = rf"(?i)^{_EDGE}[+-]?(nan|inf|infinity){_EDGE}$"
+
 # Fixed value: the one timestamp form accepted.
 _STAMP = "yyyy-MM-dd'T'HH:mm:ss"
 
@@ -26,8 +34,11 @@ def parse_timestamp(text: Column) -> Column:
 
 
 def parse_double(text: Column) -> Column:
-    """Text as a double, NULL when not numeric.  ``NaN`` and infinities are numbers."""
-    return text.try_cast("double")
+    """Text as a double, NULL when not numeric.  ``NaN`` and infinities are numbers.
+
+    Only text of the right shape is converted; the cast has the last word on it.
+    """
+    return F.when(text.rlike(_NUMBER) | text.rlike(_NUMBER_WORD), text).try_cast("double")
 
 
 def parse_int(text: Column) -> Column:

@@ -5,11 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-# A key table up to this many rows is sent to every executor (about 2 MB of dates).
-BROADCAST_ROWS = 100_000
-
+from pyspark.sql import DataFrame, SparkSession
 
 def work_dir(spark: SparkSession) -> str:
     """A new folder under ``spark.checkpoint.dir``, the folder all executors share.
@@ -18,7 +14,7 @@ def work_dir(spark: SparkSession) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         return tempfile.mkdtemp(prefix="dqgate-")
     return f"{shared.rstrip('/')}/dqgate-{uuid.uuid4().hex}"
@@ -40,12 +36,8 @@ def release(spark: SparkSession, path: str) -> None:
 def join_small_keys(rows: DataFrame, keys: DataFrame, on: str, how: str) -> DataFrame:
     """Semi- or anti-join many ``rows`` with a per-batch table of ``keys``.
 
-    The keys are computed once and counted.  Up to ``BROADCAST_ROWS`` of them are
-    broadcast, so the rows stay where they are however many share one key (and a
-    scan partitioned by the key skips the other partitions).  Beyond that the
-    planner chooses, with adaptive skew splitting for a hot key.
+    The keys are written first, so the planner knows their size: it broadcasts a small
+    table (and a scan partitioned by the key skips the other partitions) and joins a
+    large one by shuffle, with adaptive skew splitting for a hot key.
     """
-    table = written(keys.select(on).distinct())
-    if table.count() <= BROADCAST_ROWS:
-        table = F.broadcast(table)
-    return rows.join(table, on, how)
+    return rows.join(written(keys.select(on).distinct()), on, how)

@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from dqgate.functions.casts import parse_double, parse_int, parse_timestamp
 from dqgate.operators.rules import CRITICAL, WARNING, Rule, reason_array, retail_rules
-from dqgate.schema import CURATED, QUARANTINE, RAW_COLUMNS
+from dqgate.schema import CURATED, LANDING_FILE, QUARANTINE, RAW_COLUMNS
 
 
 def typed(raw: DataFrame) -> DataFrame:
-    """Raw text columns plus their parsed values; ``dt`` is passed through.
+    """Raw text columns plus their parsed values; ``dt`` and the landing file are passed through.
 
     The parsed values come out of a one-row generator.  The optimizer pushes a filter
     through a projection by writing the projected expressions into the filter, once
@@ -27,7 +27,8 @@ def typed(raw: DataFrame) -> DataFrame:
         parse_double(F.col("amount")).alias("amount_parsed"),
         parse_int(F.col("quantity")).alias("quantity_parsed"),
     )
-    return raw.select(*RAW_COLUMNS, F.inline(F.array(parsed)), "dt")
+    source = [LANDING_FILE] if LANDING_FILE in raw.columns else []
+    return raw.select(*RAW_COLUMNS, F.inline(F.array(parsed)), "dt", *source)
 
 
 def tag(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:

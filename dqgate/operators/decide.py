@@ -59,18 +59,22 @@ def decision_rank(name: Column) -> Column:
 
 # -- baseline -----------------------------------------------------------------
 
-# What the landing key says before the batch date tells one feed from another.
+# What the landing file's path says before the batch date tells one feed from another.
 _FEED = "substring_index(s3_key, '/dt=', 1)"
 
 
 def with_baseline(
-    reports: DataFrame, history: DataFrame | None = None, baseline: str = "previous"
+    reports: DataFrame,
+    history: DataFrame | None = None,
+    baseline: str = "previous",
+    refresh: bool = False,
 ) -> DataFrame:
     """Reports with the rates of the batch before, in date order and per feed.
 
     ``history`` holds reports of earlier runs; a date present in both counts with its
     new report.  The batch before is the latest one that exists, however long ago.
-    ``baseline="none"`` leaves the previous rates unknown, which switches drift off.
+    With ``refresh`` the stored report that follows a new one is returned too, since the
+    batch before it has changed.  ``baseline="none"`` leaves the previous rates unknown, which switches drift off.
     """
     if baseline == "none":
         unknown = F.lit(None).cast("double")
@@ -100,9 +104,10 @@ def with_baseline(
             {
                 "previous_invalid_rate": F.lag("invalid_rate").over(by_feed),
                 "previous_warning_rate": F.lag("warning_rate").over(by_feed),
+                "_after_new": F.coalesce(F.lag("_new").over(by_feed), F.lit(False)),
             }
         )
-        .where("_new")
+        .where("_new OR _after_new" if refresh else "_new")
         .select(*columns)
     )
 

@@ -7,15 +7,11 @@ repeats without end, reaches the shuffle as one row per task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dqgate.functions.numbers import rate
-from dqgate.operators.rules import CRITICAL, WARNING, Rule, codes, retail_rules
-from dqgate.schema import DEFAULTS, PENDING, REPORT, Thresholds
-
-LANDING_KEY = "landing/transactions/dt=%s/transactions.csv"
+from dqgate.operators.classify import invalid, valid, warned
+from dqgate.schema import DEFAULTS, LANDING_FILE, PENDING, REPORT, Thresholds
 
 
 def _is_valid() -> Column:
@@ -36,8 +32,8 @@ def high_quantity(limits: Thresholds = DEFAULTS) -> Column:
     return _is_valid() & (F.col("quantity_parsed") > F.lit(limits.quantity_anomaly))
 
 
-def base_metrics(classified: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
-    """Counts, anomaly counts and value statistics per batch, in one aggregation."""
+def base_metrics(classified: DataFrame, limits: Thresholds = DEFAULTS, *more: Column) -> DataFrame:
+    """Counts, anomaly counts and value statistics per batch, in one aggregation (with ``more``)."""
     amount, quantity = _if_valid("amount_parsed"), _if_valid("quantity_parsed")
     return classified.groupBy("dt").agg(
         F.count("*").alias("raw_count"),
@@ -52,6 +48,7 @@ def base_metrics(classified: DataFrame, limits: Thresholds = DEFAULTS) -> DataFr
         F.min(quantity).alias("quantity_min"),
         F.max(quantity).alias("quantity_max"),
         F.round(F.avg(quantity), 2).alias("quantity_avg"),
+        *more,
     )
 
 
@@ -100,112 +97,47 @@ def dominant_reason(breakdown: DataFrame) -> DataFrame:
     )
 
 
-def _exprs(*sql: str) -> list[Column]:
-    return [F.expr(text) for text in sql]
-
-
-def _entries(names: Sequence[str], prefix: str) -> str:
-    """The non-zero counters of one report row as an array of (reason, n)."""
-    if not names:
-        return "CAST(array() AS ARRAY<STRUCT<reason: STRING, n: BIGINT>>)"
-    counted = ", ".join(f"struct('{c}' AS reason, `{prefix}{c}` AS n)" for c in names)
-    return f"filter(array({counted}), entry -> entry.n > 0)"
-
-
 def quality_report(
-    classified: DataFrame,
-    rules: Sequence[Rule] | None = None,
-    limits: Thresholds = DEFAULTS,
-    landing_key: str = LANDING_KEY,
+    classified: DataFrame, limits: Thresholds = DEFAULTS
 ) -> DataFrame:
-    """One report row per batch from a single scan of the classified rows.
-
-    Exact duplicate counting has to shuffle the ids.  That shuffle carries the other
-    metrics along as partial aggregates, so the landing files are parsed once and no
-    join puts the pieces together.  Invalid rows travel under their combination of
-    codes instead of an id: a few combinations per batch, combined on the map side.
+    """One report row per batch, put together from the metrics above.
 
-    ``rules`` must be the rules the rows were classified with.
+    Counts, statistics and breakdowns reach the shuffle as one row per task and batch
+    (and code); only the duplicate branch shuffles ids, with nothing else beside them.
+    Each branch reads its own columns, so the rows should come from a columnar table, as
+    they do in the job.  The joins have one row per batch on either side.
     """
-    rules = retail_rules(limits) if rules is None else rules
-    critical, warning = codes(rules, CRITICAL), codes(rules, WARNING)
-
-    keyed = classified.selectExpr(
-        "dt",
-        "size(_reasons) = 0 AS _ok",
-        "_reasons",
-        "IF(size(_reasons) = 0, transactionid, NULL) AS _id",
-        "IF(size(_reasons) = 0, _warn_reasons, NULL) AS _warned",
-        "IF(size(_reasons) = 0, amount_parsed, NULL) AS _amount",
-        "IF(size(_reasons) = 0, quantity_parsed, NULL) AS _quantity",
+    files = F.min(LANDING_FILE) if LANDING_FILE in classified.columns else F.lit(None).cast("string")
+    broken = reason_breakdown(invalid(classified), "_reasons")
+    per_batch = (
+        base_metrics(classified, limits, files.alias("s3_key"))
+        .join(duplicate_rows(valid(classified)).drop("valid_count", "duplicate_rate"), "dt", "left")
+        .join(_as_map(broken, "_broken"), "dt", "left")
+        .join(_as_map(reason_breakdown(warned(classified), "_warn_reasons"), "_warned"), "dt", "left")
+        .join(dominant_reason(broken), "dt", "left")
     )
-    per_id = keyed.groupBy("dt", "_ok", "_id", "_reasons").agg(
-        *_exprs(
-            "count(*) AS n",
-            "count_if(size(_warned) > 0) AS warned",
-            *[f"count_if(array_contains(_warned, '{c}')) AS `w_{c}`" for c in warning],
-            f"count_if(_amount > {float(limits.amount_anomaly)}D) AS high_amount",
-            f"count_if(_quantity > {int(limits.quantity_anomaly)}) AS high_quantity",
-            "count(_amount) AS amount_n",
-            "sum(_amount) AS amount_sum",
-            "min(_amount) AS amount_min",
-            "max(_amount) AS amount_max",
-            "count(_quantity) AS quantity_n",
-            "sum(_quantity) AS quantity_sum",
-            "min(_quantity) AS quantity_min",
-            "max(_quantity) AS quantity_max",
-        )
-    )
-    per_batch = per_id.groupBy("dt").agg(
-        *_exprs(
-            "sum(n) AS raw_count",
-            "sum(IF(_ok, n, 0)) AS valid_count",
-            "sum(IF(_ok, 0, n)) AS invalid_count",
-            "sum(warned) AS warning_count",
-            "sum(IF(_ok AND n > 1, n, 0)) AS duplicate_transactionid_rows_total",
-            "sum(high_amount) AS anomaly_high_amount_count",
-            "sum(high_quantity) AS anomaly_high_quantity_count",
-            *[f"sum(IF(array_contains(_reasons, '{c}'), n, 0)) AS `c_{c}`" for c in critical],
-            *[f"sum(`w_{c}`) AS `w_{c}`" for c in warning],
-            "min(amount_min) AS amount_min",
-            "max(amount_max) AS amount_max",
-            "round(try_divide(sum(amount_sum), sum(amount_n)), 2) AS amount_avg",
-            "min(quantity_min) AS quantity_min",
-            "max(quantity_max) AS quantity_max",
-            "round(try_divide(sum(quantity_sum), sum(quantity_n)), 2) AS quantity_avg",
-        )
-    )
-    return _assemble(per_batch, critical, warning, limits, landing_key)
-
-
-def _assemble(
-    per_batch: DataFrame,
-    critical: Sequence[str],
-    warning: Sequence[str],
-    limits: Thresholds,
-    landing_key: str,
-) -> DataFrame:
-    """Rates, maps and constants around the counters, in the report's column order."""
     computed = {
         "source_date": "dt",
-        "s3_key": f"format_string('{landing_key}', dt)",
         "batch_status": f"'{PENDING}'",
         "processed_at": "current_timestamp()",
         "invalid_rate": rate("invalid_count", "raw_count"),
         "warning_rate": rate("warning_count", "raw_count"),
         "previous_invalid_rate": "CAST(NULL AS DOUBLE)",
         "previous_warning_rate": "CAST(NULL AS DOUBLE)",
-        # Most rows first, then alphabetical.
-        "dominant_invalid_reason": (
-            "array_min(transform(_broken, e -> struct(-e.n AS n, e.reason AS reason))).reason"
-        ),
+        "duplicate_transactionid_rows_total": "coalesce(duplicate_transactionid_rows_total, 0)",
         "anomaly_high_amount_rate": rate("anomaly_high_amount_count", "valid_count"),
         "anomaly_high_quantity_rate": rate("anomaly_high_quantity_count", "valid_count"),
-        "invalid_reason_breakdown": "map_from_entries(_broken)",
-        "warning_reason_breakdown": "map_from_entries(_warned)",
+        "invalid_reason_breakdown": f"coalesce(_broken, {_NO_COUNTS})",
+        "warning_reason_breakdown": f"coalesce(_warned, {_NO_COUNTS})",
         "thresholds": limits.as_sql,
     }
-    with_maps = per_batch.selectExpr(
-        "*", f"{_entries(critical, 'c_')} AS _broken", f"{_entries(warning, 'w_')} AS _warned"
-    )
-    return with_maps.selectExpr(*[f"{computed.get(name, name)} AS {name}" for name in REPORT.names])
+    return per_batch.selectExpr(*[f"{computed.get(name, name)} AS {name}" for name in REPORT.names])
+
+
+_NO_COUNTS = "CAST(map() AS MAP<STRING, BIGINT>)"
+
+
+def _as_map(breakdown: DataFrame, name: str) -> DataFrame:
+    """The codes of each batch as one map; a batch has as many entries as there are codes."""
+    entries = F.collect_list(F.struct("reason", "n"))
+    return breakdown.groupBy("dt").agg(F.map_from_entries(entries).alias(name))

@@ -21,6 +21,18 @@ class Rule:
     severity: str
     condition: str
 
+    def __post_init__(self) -> None:
+        if not self.code or set(self.code) & set("'`\\,"):
+            raise ValueError(f"a rule code must be plain text without quotes or commas: {self.code!r}")
+
+
+def merged(rules: Sequence[Rule]) -> list[Rule]:
+    """One rule per code and severity, broken when any of its rules is, in first order."""
+    conditions: dict[tuple[str, str], list[str]] = {}
+    for rule in rules:
+        conditions.setdefault((rule.code, rule.severity), []).append(rule.condition)
+    return [Rule(code, severity, " OR ".join(f"({c})" for c in found)) for (code, severity), found in conditions.items()]
+
 
 def codes(rules: Sequence[Rule], severity: str) -> list[str]:
     return [rule.code for rule in rules if rule.severity == severity]
@@ -59,7 +71,7 @@ def reason_array(rules: Sequence[Rule], severity: str) -> Column:
     none = "CAST(array() AS ARRAY<STRING>)"
     picked = [
         f"IF({rule.condition}, array('{rule.code}'), {none})"
-        for rule in rules
+        for rule in merged(rules)
         if rule.severity == severity
     ]
     return F.expr(f"concat({', '.join(picked)})" if picked else none)

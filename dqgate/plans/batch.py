@@ -14,12 +14,13 @@ from dqgate.operators.decide import (
     decide,
     evaluated,
     merge_verdicts,
+    review_queue,
     with_baseline,
     without_review,
 )
 from dqgate.operators.metrics import quality_report
-from dqgate.operators.route import alerts, failure_alerts, publish_gate, route
-from dqgate.operators.rules import Rule
+from dqgate.operators.route import PUBLISHABLE, alerts, failure_alerts, publish_gate, route
+from dqgate.operators.rules import Rule, retail_rules
 from dqgate.schema import CURATED, DEFAULTS, QUARANTINE, Thresholds
 from dqgate.sources.landing import (
     landed_batches,
@@ -29,35 +30,57 @@ from dqgate.sources.landing import (
     undersized_batches,
     without_batches,
 )
-from dqgate.sources.reports import read_reports, write_evaluated, write_reports
+from dqgate.sources.reports import (
+    read_reports,
+    stored_reports,
+    write_evaluated,
+    write_messages,
+    write_reports,
+)
 from dqgate.sources.tables import clear_batches, write_curated, write_quarantine
 
 
 @dataclass(frozen=True)
 class Zones:
-    """Where each kind of output lives below one base folder."""
+    """Where each kind of output of one feed lives below one base folder."""
 
     base: str
+    feed: str = "transactions"
+
+    def _of_feed(self, name: str) -> str:
+        return f"{self.base}/{name}" if self.feed == "transactions" else f"{self.base}/{name}/{self.feed}"
 
     @property
     def landing(self) -> str:
-        return f"{self.base}/landing/transactions"
+        return f"{self.base}/landing/{self.feed}"
 
     @property
     def curated(self) -> str:
-        return f"{self.base}/curated/transactions"
+        return f"{self.base}/curated/{self.feed}"
 
     @property
     def quarantine(self) -> str:
-        return f"{self.base}/quarantine/transactions"
+        return f"{self.base}/quarantine/{self.feed}"
 
     @property
     def reports(self) -> str:
-        return f"{self.base}/quality-reports"
+        return self._of_feed("quality-reports")
 
     @property
     def evaluated(self) -> str:
-        return f"{self.base}/evaluated-reports"
+        return self._of_feed("evaluated-reports")
+
+    @property
+    def alerts(self) -> str:
+        return self._of_feed("alerts")
+
+    @property
+    def failures(self) -> str:
+        return self._of_feed("failures")
+
+    @property
+    def reviews(self) -> str:
+        return self._of_feed("review-queue")
 
 
 @dataclass(frozen=True)
@@ -91,22 +114,30 @@ def run_batches(
     only the columns they need.  The table also means that a lost executor costs a
     re-read of some files, not a re-run of the job.  It is emptied at the end.
 
-    ``strict`` raises on an undersized batch before any output is written; otherwise
-    such batches are left out and reported as failures, as are ``expected`` dates
-    nothing has landed for.  ``gate`` holds back the curated rows of batches that
-    were not let out, by publishing after the decision instead of before it; what
-    such a batch had published earlier stays.
+    ``strict`` raises on an undersized batch before any rows are published; otherwise
+    such batches are left out.  Either way they are stored as failures, as are
+    ``expected`` dates nothing has landed for.  Previous rates come from ``history``,
+    by default the stored reports; the stored batch that follows a processed one is
+    decided again.  ``gate`` publishes curated rows after the decision and only those
+    of batches that are let out; what a blocked batch had published goes away.
     """
     wanted = None if dates is None else list(dates)
-    landed = landed_batches(spark, landing)
-    if wanted is not None:
-        landed = landed.where(F.col("dt").isin(*wanted))
+    rules = retail_rules(limits) if rules is None else list(rules)
+    landed = landed_batches(spark, landing, wanted)
+    if history is None and baseline == "previous":
+        history = stored_reports(spark, zones.reports)
 
-    stage = work_dir(spark) + "/classified"
+    work = work_dir(spark)
     try:
-        staged = written(classify(read_landing(spark, landing, wanted), rules), stage)
-
-        undersized = written(undersized_batches(staged, limits.min_rows, landed))
+        rows = read_landing(spark, landing, wanted, with_file=True)
+        staged = written(classify(rows, rules), f"{work}/classified")
+
+        undersized = written(undersized_batches(staged, limits.min_rows, landed), f"{work}/undersized")
+        nothing = undersized.select("dt").where(F.lit(False))
+        missing = nothing if expected is None else missing_batches(expected, landed)
+        failures = written(failure_alerts(missing, undersized), f"{work}/failures")
+        asked = landed.select("dt") if expected is None else landed.select("dt").union(expected.select("dt"))
+        write_messages(failures, asked.withColumnRenamed("dt", "source_date"), zones.failures)
         if strict:
             require_min_rows(undersized)
         good = staged if undersized.isEmpty() else without_batches(staged, undersized)
@@ -114,25 +145,25 @@ def run_batches(
         if not gate:
             write_curated(curated(good), zones.curated)
         write_quarantine(quarantine(good), zones.quarantine)
-        # Reports are small; written out, the large plan behind them runs once, and the
-        # stored reports can be the history and the target of the same run.
-        new = written(quality_report(good, rules, limits))
-        reports = written(with_baseline(new, history, baseline=baseline))
+        # Reports are small; written out, the plan behind them runs once, and the stored
+        # reports can be the history and the target of the same run.
+        reports = written(
+            with_baseline(quality_report(good, limits), history, baseline, refresh=True), f"{work}/reports"
+        )
         write_reports(reports, zones.reports)
+        final = written(_evaluate(reports, zones, verdicts, limits), f"{work}/final")
 
-        _clear_emptied(spark, zones.quarantine, reports.where("invalid_count = 0"), QUARANTINE)
-        if not gate:
-            _clear_emptied(spark, zones.curated, reports.where("valid_count = 0"), CURATED)
-
-        final = _evaluate(reports, zones, verdicts, limits)
+        _clear(spark, zones.quarantine, reports.where("invalid_count = 0"), QUARANTINE)
         if gate:
             write_curated(publish_gate(curated(good), final), zones.curated)
+            blocked = ~F.col("final_decision").isin(*PUBLISHABLE) | (F.col("valid_count") == 0)
+            _clear(spark, zones.curated, final.where(blocked), CURATED)
+        else:
+            _clear(spark, zones.curated, reports.where("valid_count = 0"), CURATED)
     finally:
-        release(spark, stage)
-
-    nothing = undersized.select("dt").where(F.lit(False))
-    missing = nothing if expected is None else missing_batches(expected, landed)
-    return BatchRun(final, alerts(final), failure_alerts(missing, undersized))
+        for table in ("classified", "undersized", "reports"):
+            release(spark, f"{work}/{table}")
+    return BatchRun(final, alerts(final), failures)
 
 
 def evaluate_batches(
@@ -154,15 +185,17 @@ def _evaluate(
     final = without_review(decisions) if verdicts is None else merge_verdicts(decisions, verdicts)
     final = route(final)
     write_evaluated(evaluated(final), zones.evaluated)
+    write_messages(alerts(final), reports, zones.alerts)
+    write_messages(review_queue(decisions).drop("metrics_summary"), reports, zones.reviews)
     return final
 
 
-def _clear_emptied(
-    spark: SparkSession, path: str, emptied: DataFrame, schema: StructType
-) -> None:
-    """Empty the stored partitions of batches that now have no row for them."""
-    stored = landed_batches(spark, path, "*.parquet")
-    emptied = emptied.select(F.col("source_date").alias("dt"))
-    # Dates only, and only of batches that had rows before.
-    stale = stored.join(emptied, "dt", "left_semi").select("dt").toLocalIterator()
-    clear_batches(spark, path, sorted(row["dt"] for row in stale), schema)
+def _clear(spark: SparkSession, path: str, emptied: DataFrame, schema: StructType) -> None:
+    """Empty the stored partitions of batches that now have no row for them.
+
+    Only the folders of these batches are looked at.
+    """
+    dates = sorted(row["source_date"] for row in emptied.select("source_date").toLocalIterator())
+    if dates:
+        stored = landed_batches(spark, path, dates).select("dt").toLocalIterator()
+        clear_batches(spark, path, sorted(row["dt"] for row in stored), schema)

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from dqgate.plans.queries import LANDING_SQL, LINEITEM_RULES, SMALL_GUARD
-from dqgate.operators.rules import CRITICAL, WARNING
+from dqgate.plans.queries import LANDING_SQL
 
 _CTES: dict[str, str] = {
     "landing": LANDING_SQL.format(events="events"),
@@ -65,7 +64,6 @@ _CTES: dict[str, str] = {
         WHERE r = 1""",
     "report": """
         SELECT b.dt AS source_date,
-          'landing/transactions/dt=' || b.dt || '/transactions.csv' AS s3_key,
           'PENDING_EVALUATION' AS batch_status,
           b.raw_count, b.valid_count, b.invalid_count, b.warning_count,
           round_even(b.invalid_count / b.raw_count, 6) AS invalid_rate,
@@ -157,19 +155,10 @@ _QUARANTINE = (
     "SELECT transactionid, transactionts, storeid, productid, amount, quantity, transactionts_parsed, "
     "amount_parsed, quantity_parsed, dt, reasons AS _invalid_reasons FROM classified WHERE reasons <> ''"
 )
-_CASES = {
-    severity: "concat_ws(',', "
-    + ", ".join(
-        f"CASE WHEN {sql} THEN '{code}' END"
-        for code, (kind, sql) in LINEITEM_RULES.items()
-        if kind == severity
-    )
-    + ")"
-    for severity in (CRITICAL, WARNING)
-}
+_MEAN = "(SELECT count(*) // count(DISTINCT dt) FROM landing)"
 _UNDERSIZED = (
-    f"SELECT dt, count(*) AS raw_count, CAST({SMALL_GUARD} AS BIGINT) AS min_rows FROM landing "
-    f"GROUP BY dt HAVING count(*) < {SMALL_GUARD}"
+    f"SELECT dt, count(*) AS raw_count, CAST({_MEAN} AS BIGINT) AS min_rows FROM landing "
+    f"GROUP BY dt HAVING count(*) < {_MEAN}"
 )
 _MISSING = (
     "SELECT strftime(d, '%Y-%m-%d') AS dt FROM (SELECT unnest(generate_series("
@@ -192,8 +181,11 @@ ORACLES: dict[str, str] = {
     "curated": _with("valid", _CURATED),
     "quarantine": _with("classified", _QUARANTINE),
     "lineitem_rules": (
-        f"SELECT l_orderkey, l_linenumber, l_partkey, {_CASES[CRITICAL]} AS reasons, "
-        f"{_CASES[WARNING]} AS warn_reasons FROM lineitem"
+        "SELECT l_orderkey, l_linenumber, l_partkey, concat_ws(',', "
+        "CASE WHEN l_orderkey IS NULL THEN 'missing_order' END, CASE WHEN l_returnflag = 'R' THEN 'returned' END, "
+        "CASE WHEN l_extendedprice < 5000 THEN 'low_price' END) AS reasons, concat_ws(',', "
+        "CASE WHEN l_discount > 0.08 THEN 'high_discount' END, CASE WHEN l_tax = 0 THEN 'untaxed' END) AS warn_reasons "
+        "FROM lineitem"
     ),
     "lineitem_duplicates": (
         "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem "
@@ -214,7 +206,11 @@ ORACLES: dict[str, str] = {
     "invalid_breakdown": _with("invalid_counts", "SELECT * FROM invalid_counts"),
     "warning_breakdown": _with("warning_counts", "SELECT * FROM warning_counts"),
     "dominant_reason": _with("dominant", "SELECT * FROM dominant"),
-    "quality_report": _with("report", "SELECT * FROM report"),
+    "quality_report": _with(
+        "report",
+        "SELECT *, 0.05::DOUBLE AS max_invalid_rate, 0.10::DOUBLE AS max_warning_rate, "
+        "5000::DOUBLE AS amount_anomaly_threshold, 50 AS quantity_anomaly_threshold FROM report",
+    ),
     "report_breakdowns": _with(
         "warning_counts",
         "SELECT dt AS source_date, reason, n FROM invalid_counts "
@@ -239,9 +235,16 @@ ORACLES: dict[str, str] = {
     "review_queue": _with(
         "all_reasons",
         "SELECT r.source_date, r.decision, (SELECT string_agg(a.text, '; ' ORDER BY a.rule) "
-        "FROM all_reasons a WHERE a.source_date = r.source_date) AS reasons_text, r.invalid_rate, "
-        "r.raw_count, r.valid_count, r.dominant_invalid_reason, (SELECT max(c.n) FROM invalid_counts c "
-        "WHERE c.dt = r.source_date AND c.reason = 'invalid_amount') AS invalid_amount_rows "
+        "FROM all_reasons a WHERE a.source_date = r.source_date) AS reasons_text, r.source_date AS sent_date, "
+        "r.invalid_rate, r.warning_rate, r.duplicate_transactionid_rows_total, r.anomaly_high_amount_rate, "
+        "r.previous_invalid_rate, r.dominant_invalid_reason, r.raw_count, r.valid_count, "
+        "coalesce((SELECT string_agg(c.reason || '=' || c.n, ',' ORDER BY c.reason) FROM invalid_counts c "
+        "WHERE c.dt = r.source_date), '') AS invalid_reason_breakdown, "
+        "coalesce((SELECT string_agg(c.reason || '=' || c.n, ',' ORDER BY c.reason) FROM warning_counts c "
+        "WHERE c.dt = r.source_date), '') AS warning_reason_breakdown, "
+        "'Batch date: ' || r.source_date || chr(10) || 'Deterministic decision: ' || r.decision || chr(10) || "
+        "'Reasons: ' || (SELECT string_agg(a.text, '; ' ORDER BY a.rule) FROM all_reasons a "
+        "WHERE a.source_date = r.source_date) || chr(10) AS request, true AS request_has_metrics "
         "FROM ranked r WHERE r.decision <> 'ALLOW'",
     ),
     "verdict_merge": _with(
@@ -257,20 +260,21 @@ ORACLES: dict[str, str] = {
         "WHEN 'ESCALATE' THEN 'ESCALATED' ELSE 'SUCCEEDED' END AS terminal_state FROM ranked",
     ),
     "alerts": _with(
-        "ranked",
+        "all_reasons",
         "SELECT source_date, CASE decision WHEN 'QUARANTINE' THEN 'Batch Quarantined - Quality Too Poor' "
         "WHEN 'ESCALATE' THEN 'Batch Escalated - Human Review Required' "
         "ELSE 'Batch Allowed With Warnings' END AS subject, "
         "'Batch for ' || source_date || CASE decision WHEN 'QUARANTINE' THEN ' has been quarantined.' "
-        "WHEN 'ESCALATE' THEN ' requires human review.' ELSE ' passed with warnings.' END AS message "
-        "FROM ranked WHERE decision <> 'ALLOW'",
+        "WHEN 'ESCALATE' THEN ' requires human review.' ELSE ' passed with warnings.' END || ' Reasons: [\"' || "
+        "(SELECT string_agg(a.text, '\",\"' ORDER BY a.rule) FROM all_reasons a WHERE a.source_date = ranked.source_date) "
+        "|| '\"]' AS message FROM ranked WHERE decision <> 'ALLOW'",
     ),
     "missing_batches": _with("landing", _MISSING),
     "undersized_batches": _with("landing", _UNDERSIZED),
     "guarded_rows": _with(
         "landing",
         "SELECT * FROM landing WHERE dt IN (SELECT dt FROM landing GROUP BY dt "
-        f"HAVING count(*) >= {SMALL_GUARD})",
+        f"HAVING count(*) >= {_MEAN})",
     ),
     "failure_alerts": _with(
         "landing",
@@ -291,4 +295,76 @@ ORACLES: dict[str, str] = {
     "batch_run": _STORED,
     "batch_run_quarantine": _with("classified", _QUARANTINE),
     "stream_available_now": _STORED,
+    "stream_two_calls": _STORED,
+    "daily_runs": _STORED,
+    "batch_run_gated": _with(
+        "ranked",
+        _CURATED + " WHERE dt IN (SELECT source_date FROM ranked WHERE decision_rank <= 1)",
+    ),
+    "batch_run_guarded": (
+        # The baseline skips the batches left out, so the landing rows are cut first.
+        _with(
+            "ranked",
+            f"SELECT source_date, 'decision' AS kind, decision AS text FROM ranked UNION ALL "
+            "SELECT dt, 'failure', 'Pipeline failed for date ' || dt || '. Error: Row count ' || n || ' below minimum ' "
+            "|| least || '. Aborting.' FROM (SELECT dt, count(*) AS n, any_value(mean) AS least FROM everything "
+            "GROUP BY dt) WHERE n < least",
+        ).replace(
+            f"landing AS ({_CTES['landing']})",
+            f"everything AS (SELECT *, count(*) OVER () // (SELECT count(DISTINCT dt) FROM ({_CTES['landing']})) AS mean, "
+            f"count(*) OVER (PARTITION BY dt) AS own FROM ({_CTES['landing']})), "
+            "landing AS (SELECT * EXCLUDE (mean, own) FROM everything WHERE own >= mean)",
+        )
+    ),
+    "batch_run_limits": _with(
+        "typed",
+        "SELECT dt AS source_date, CASE WHEN invalid > 0.4 * n THEN 'QUARANTINE' "
+        "WHEN dups > 0.01 * (n - invalid) OR rate - lag(rate) OVER (ORDER BY dt) > 0.02::DOUBLE THEN 'ESCALATE' "
+        "WHEN warned > 0.02 * n OR round_even(high / (n - invalid), 6) > 0.05::DOUBLE THEN 'ALLOW_WITH_WARNING' "
+        "ELSE 'ALLOW' END AS batch_status, invalid AS invalid_count, n - invalid AS valid_count, "
+        "warned AS warning_count FROM (SELECT *, round_even(invalid / n, 6) AS rate FROM ("
+        "SELECT dt, count(*) AS n, count(*) FILTER (bad) AS invalid, count(*) FILTER (NOT bad AND warn) AS warned, "
+        "count(*) FILTER (NOT bad AND amount_parsed > 5000) AS high, count(*) FILTER (NOT bad AND twice > 1) AS dups "
+        "FROM (SELECT *, count(*) FILTER (NOT bad) OVER (PARTITION BY dt, transactionid) AS twice FROM ("
+        "SELECT *, transactionid IS NULL OR trim(transactionid) = '' OR transactionts_parsed IS NULL "
+        "OR amount_parsed IS NULL OR amount_parsed < 20 OR quantity_parsed IS NULL OR quantity_parsed < 3 AS bad, "
+        "storeid IS NULL OR trim(storeid) = '' OR productid IS NULL OR trim(productid) = '' AS warn FROM typed)) "
+        "GROUP BY dt))",
+    ),
+    "missing_metrics": _with(
+        "measured",
+        "SELECT source_date, CASE WHEN i > 0.05::DOUBLE THEN 'QUARANTINE' WHEN d > 0.01::DOUBLE OR i - p > 0.02::DOUBLE "
+        "THEN 'ESCALATE' WHEN w > 0.10::DOUBLE OR a > 0.05::DOUBLE THEN 'ALLOW_WITH_WARNING' ELSE 'ALLOW' END AS decision, "
+        "i AS invalid_rate, w AS warning_rate, round_even(d, 6) AS duplicate_rate, a AS anomaly_amount_rate, "
+        "raw_count, v AS valid_count, coalesce(nullif(concat_ws(' | ', "
+        "CASE WHEN i > 0.05::DOUBLE THEN printf('Invalid rate %.2f%% exceeds threshold 5.00%%.', i * 100) END, "
+        "CASE WHEN w > 0.10::DOUBLE THEN printf('Warning rate %.2f%% exceeds threshold 10.00%%.', w * 100) END, "
+        "CASE WHEN d > 0.01::DOUBLE THEN printf('Duplicate row rate %.2f%% exceeds threshold 1.00%%. "
+        "Possible replay or upstream dedup issue.', d * 100) END, "
+        "CASE WHEN a > 0.05::DOUBLE THEN printf('High-amount anomaly rate %.2f%% exceeds threshold 5.00%%.', a * 100) END, "
+        "CASE WHEN i - p > 0.02::DOUBLE THEN printf('Invalid rate increased by %.2f%% vs previous run "
+        "(%.2f%% -> %.2f%%). Possible upstream schema change.', (i - p) * 100, p * 100, i * 100) END, "
+        "CASE WHEN decision IN ('QUARANTINE', 'ESCALATE') AND dominant_invalid_reason <> '' THEN 'Dominant failure reason: ' "
+        "|| dominant_invalid_reason || '. Investigate upstream source for this field.' END), ''), "
+        "'All quality checks passed within thresholds.') AS reasons FROM (SELECT *, "
+        "CASE WHEN k = 0 THEN 0 ELSE invalid_rate END AS i, CASE WHEN k <> 0 THEN previous_invalid_rate END AS p, "
+        "CASE WHEN k = 1 THEN 0 ELSE warning_rate END AS w, CASE WHEN k = 2 THEN 0 ELSE anomaly_high_amount_rate END AS a, "
+        "CASE WHEN k = 2 THEN 0 ELSE valid_count END AS v, CASE WHEN k IN (1, 2) OR valid_count = 0 THEN 0 "
+        "ELSE duplicate_transactionid_rows_total / valid_count END AS d "
+        "FROM (SELECT *, CAST(substr(source_date, 9, 2) AS INTEGER) % 3 AS k FROM measured))",
+    ),
 }
+
+# The same alerts, stored by the job.
+ORACLES["batch_run_alerts"] = ORACLES["alerts"]
+
+_FEED = "SELECT '{0}' AS feed, source_date, decision AS batch_status, raw_count, invalid_count, previous_invalid_rate FROM ({1})"
+_DECIDED = _with("ranked", "SELECT * FROM ranked")
+ORACLES["two_feeds"] = (
+    _FEED.format("first", _DECIDED)
+    + " UNION ALL "
+    + _FEED.format("second", _DECIDED.replace(f"landing AS ({_CTES['landing']})", (
+        f"landing AS (SELECT * FROM ({_CTES['landing']}) WHERE coalesce(length(transactionid) % 2, 0) = 0)"
+    )))
+)
+

@@ -12,7 +12,7 @@ from dqgate.operators.rules import CRITICAL, WARNING, Rule
 from dqgate.plans.batch import Zones, run_batches
 from dqgate.schema import RAW_COLUMNS, Thresholds
 from dqgate.sources import landing as la
-from dqgate.sources.reports import read_evaluated, read_reports, write_reports
+from dqgate.sources.reports import read_evaluated, read_messages, read_reports, write_reports
 from dqgate.sources.tables import (
     read_curated,
     read_quarantine,
@@ -64,9 +64,19 @@ SELECT dt, CASE CAST(substr(dt, 9, 2) AS INT) % 7
 FROM {batches} GROUP BY dt
 """
 
+# A part of the rows, the same in both engines.
+_LATE = "coalesce(length(transactionid) % 2, 0) = 0"
+
 # Batches at the test scale factors are far below the default minimum.
 NO_GUARD = Thresholds(min_rows=0)
-SMALL_GUARD = 330
+# Limits that split the test rows differently from the defaults.
+OTHER_LIMITS = Thresholds(min_rows=0, amount_min=20.0, quantity_min=3, max_invalid_rate=0.4, max_warning_rate=0.02)
+
+
+def mean_rows(rows: DataFrame) -> int:
+    """Rows of an average batch: a minimum that some batches of any table are below."""
+    number, batches = rows.agg(F.count("*"), F.countDistinct("dt")).first()
+    return number // max(1, batches)
 
 
 def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,7 +203,6 @@ def dominant_reason(spark, sf_dir):
 # Everything in a report but its maps, structs and processing time.
 SCALARS = (
     "source_date",
-    "s3_key",
     "batch_status",
     "raw_count",
     "valid_count",
@@ -217,7 +226,7 @@ SCALARS = (
 
 
 def quality_report(spark, sf_dir):
-    return report(spark, sf_dir).select(*SCALARS)
+    return report(spark, sf_dir).select(*SCALARS, "thresholds.*")
 
 
 def report_breakdowns(spark, sf_dir):
@@ -250,25 +259,53 @@ def decision_reasons(spark, sf_dir):
     )
 
 
+def missing_metrics(spark, sf_dir):
+    """Decisions on reports that lack metrics: what a report does not have counts as 0."""
+    lacking = F.substring("source_date", 9, 2).cast("int") % 3
+    names = (("invalid_rate", "previous_invalid_rate"), ("warning_rate", "duplicate_transactionid_rows_total"),
+             ("anomaly_high_amount_rate", "valid_count"))
+    reports = de.with_baseline(report(spark, sf_dir)).withColumns(
+        {name: F.when(lacking != i, F.col(name)) for i, pair in enumerate(names) for name in pair}
+    )
+    return de.decide(reports).select(
+        "source_date", "decision", "metrics_summary.*", F.array_join("decision_reasons", " | ").alias("reasons")
+    )
+
+
 def fired_rules(spark, sf_dir):
     return de.fired_rules(decided(spark, sf_dir))
 
 
 def review_queue(spark, sf_dir):
     queue = de.review_queue(decided(spark, sf_dir))
+    counts = "map<string,bigint>"
     sent = F.from_json(
-        "metrics_json", "source_date string, invalid_rate double, raw_count bigint, valid_count bigint,"
-        " dominant_invalid_reason string, invalid_reason_breakdown map<string,bigint>"
+        "metrics_json", "source_date string, invalid_rate double, warning_rate double,"
+        " duplicate_transactionid_rows_total bigint, anomaly_high_amount_rate double, previous_invalid_rate double,"
+        f" dominant_invalid_reason string, invalid_reason_breakdown {counts}, warning_reason_breakdown {counts},"
+        " raw_count bigint, valid_count bigint"
     )
+
+    def text(name: str) -> Column:
+        entries = F.array_sort(F.map_entries(F.col(f"_sent.{name}")))
+        return F.array_join(
+            F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ","
+        ).alias(name)
+
     return queue.withColumn("_sent", sent).select(
         "source_date",
         "decision",
         "reasons_text",
-        "_sent.invalid_rate",
-        "_sent.raw_count",
-        "_sent.valid_count",
-        "_sent.dominant_invalid_reason",
-        F.col("_sent.invalid_reason_breakdown")["invalid_amount"].alias("invalid_amount_rows"),
+        F.col("_sent.source_date").alias("sent_date"),
+        *[f"_sent.{name}" for name in (
+            "invalid_rate", "warning_rate", "duplicate_transactionid_rows_total", "anomaly_high_amount_rate",
+            "previous_invalid_rate", "dominant_invalid_reason", "raw_count", "valid_count",
+        )],
+        text("invalid_reason_breakdown"),
+        text("warning_reason_breakdown"),
+        # The request around the metrics, which are checked by field above.
+        F.substring_index("request_text", "Metrics: ", 1).alias("request"),
+        F.endswith("request_text", "metrics_json").alias("request_has_metrics"),
     )
 
 
@@ -292,10 +329,7 @@ def routes(spark, sf_dir):
 
 def alerts(spark, sf_dir):
     final = de.without_review(decided(spark, sf_dir))
-    # The reasons inside the message are JSON; the SQL side has them under their own query.
-    return ro.alerts(final).select(
-        "source_date", "subject", F.substring_index("message", " Reasons: ", 1).alias("message")
-    )
+    return ro.alerts(final)
 
 
 def _missing(spark, sf_dir):
@@ -314,16 +348,18 @@ def missing_batches(spark, sf_dir):
 
 
 def undersized_batches(spark, sf_dir):
-    return la.undersized_batches(landing(spark, sf_dir), SMALL_GUARD)
+    rows = landing(spark, sf_dir)
+    return la.undersized_batches(rows, mean_rows(rows))
 
 
 def guarded_rows(spark, sf_dir):
     rows = landing(spark, sf_dir)
-    return la.without_batches(rows, la.undersized_batches(rows, SMALL_GUARD))
+    return la.without_batches(rows, la.undersized_batches(rows, mean_rows(rows)))
 
 
 def failure_alerts(spark, sf_dir):
-    undersized = la.undersized_batches(landing(spark, sf_dir), SMALL_GUARD)
+    rows = landing(spark, sf_dir)
+    undersized = la.undersized_batches(rows, mean_rows(rows))
     return ro.failure_alerts(_missing(spark, sf_dir), undersized)
 
 
@@ -339,16 +375,19 @@ def publish_gate(spark, sf_dir):
 def _land(spark, sf_dir, base: str) -> str:
     """The landing rows as CSV files, spaces and NULLs intact."""
     path = f"{base}/landing/transactions"
+    _write_landing(landing(spark, sf_dir), path)
+    return path
+
+
+def _write_landing(rows: DataFrame, path: str, mode: str = "error") -> None:
     (
-        landing(spark, sf_dir)
-        .hint("rebalance", F.col("dt"))
-        .write.partitionBy("dt")
+        rows.hint("rebalance", F.col("dt"))
+        .write.mode(mode).partitionBy("dt")
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
-    return path
 
 
 def csv_roundtrip(spark, sf_dir):
@@ -357,7 +396,7 @@ def csv_roundtrip(spark, sf_dir):
 
 def landed_batches(spark, sf_dir):
     path = _land(spark, sf_dir, work_dir(spark))
-    return la.landed_batches(spark, path).where("bytes > 0").select("dt")
+    return la.landed_batches(spark, path).select("dt")
 
 
 def report_roundtrip(spark, sf_dir):
@@ -384,13 +423,89 @@ def _run(spark, sf_dir) -> Zones:
 
 def batch_run(spark, sf_dir):
     """The whole job from CSV files; its decisions as stored."""
-    zones = _run(spark, sf_dir)
+    return _stored(spark, _run(spark, sf_dir))
+
+
+def _stored(spark, zones):
     return read_evaluated(spark, zones.evaluated).select(
         "source_date", "batch_status", "raw_count", "invalid_count", "previous_invalid_rate",
         F.array_join("decision_reasons", " | ").alias("reasons"),
     )
 
 
+def batch_run_guarded(spark, sf_dir):
+    """The whole job, leaving out batches below the mean: stored decisions and stored failures."""
+    base = work_dir(spark)
+    zones, rows = Zones(base), landing(spark, sf_dir)
+    limits = Thresholds(min_rows=mean_rows(rows))
+    run_batches(spark, _land(spark, sf_dir, base), zones, limits=limits, strict=False)
+    failed = read_messages(spark, zones.failures, ("subject", "message"))
+    return _stored(spark, zones).select("source_date", F.lit("decision").alias("kind"), F.col("batch_status").alias("text")).unionByName(
+        failed.select("source_date", F.lit("failure").alias("kind"), F.col("message").alias("text"))
+    )
+
+
+def batch_run_limits(spark, sf_dir):
+    """The whole job with other limits for rows and batches: counts and decisions as stored."""
+    base = work_dir(spark)
+    zones = Zones(base)
+    run_batches(spark, _land(spark, sf_dir, base), zones, limits=OTHER_LIMITS)
+    return read_evaluated(spark, zones.evaluated).select("source_date", "batch_status", "invalid_count", "valid_count", "warning_count")
+
+
+def batch_run_gated(spark, sf_dir):
+    """All batches published, then the whole job again with the gate: no row of a blocked batch is left."""
+    base = work_dir(spark)
+    zones, path = Zones(base), _land(spark, sf_dir, base)
+    write_curated(cl.curated(cl.classify(la.read_landing(spark, path))), zones.curated)
+    run_batches(spark, path, zones, limits=NO_GUARD, gate=True)
+    return _zoneless(read_curated(spark, zones.curated), "transactionts")
+
+
+def batch_run_alerts(spark, sf_dir):
+    """The alerts that the whole job has stored, after a second run over the same batches."""
+    base = work_dir(spark)
+    zones, path = Zones(base), _land(spark, sf_dir, base)
+    run_batches(spark, path, zones, limits=NO_GUARD)
+    run_batches(spark, path, zones, limits=NO_GUARD)
+    return read_messages(spark, zones.alerts, ("subject", "message"))
+
+
+def daily_runs(spark, sf_dir):
+    """The job called three times, for the first, middle and last days; earlier reports are found by themselves."""
+    base = work_dir(spark)
+    zones, path = Zones(base), _land(spark, sf_dir, base)
+    dates = sorted(r["dt"] for r in la.landed_batches(spark, path).select("dt").toLocalIterator())
+    third = -(-len(dates) // 3)
+    # The middle days come last: the day after them is decided again.
+    for part in (dates[:third], dates[2 * third :], dates[third : 2 * third]):
+        run_batches(spark, path, zones, dates=part, limits=NO_GUARD)
+    return _stored(spark, zones)
+
+
+def two_feeds(spark, sf_dir):
+    """Two feeds with the same dates below one folder, the second with some of the rows of the first."""
+    base = work_dir(spark)
+    parts = []
+    for feed, rows in (("first", landing(spark, sf_dir)), ("second", landing(spark, sf_dir).where(_LATE))):
+        zones = Zones(base, feed)
+        _write_landing(rows, zones.landing)
+        run_batches(spark, zones.landing, zones, limits=NO_GUARD)
+        parts.append((feed, zones))
+    found = [_stored(spark, zones).withColumn("feed", F.lit(feed)) for feed, zones in parts]
+    return found[0].unionByName(found[1]).select("feed", "source_date", "batch_status", "raw_count", "invalid_count", "previous_invalid_rate")
+
+
+def stream_two_calls(spark, sf_dir):
+    """Most rows first, then a second call for late files of the same dates."""
+    base = work_dir(spark)
+    zones, rows = Zones(base), landing(spark, sf_dir)
+    for part in (rows.where(f"NOT ({_LATE})"), rows.where(_LATE)):
+        _write_landing(part, zones.landing, "append")
+        run_available_now(spark, zones.landing, zones, f"{base}/checkpoint", limits=NO_GUARD)
+    return _stored(spark, zones)
+
+
 def batch_run_quarantine(spark, sf_dir):
     """The whole job from CSV files; its quarantine table as stored."""
     return _zoneless(
@@ -404,10 +519,7 @@ def stream_available_now(spark, sf_dir):
     run_available_now(
         spark, _land(spark, sf_dir, base), zones, f"{base}/checkpoint", limits=NO_GUARD
     )
-    return read_evaluated(spark, zones.evaluated).select(
-        "source_date", "batch_status", "raw_count", "invalid_count", "previous_invalid_rate",
-        F.array_join("decision_reasons", " | ").alias("reasons"),
-    )
+    return _stored(spark, zones)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -432,6 +544,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_baseline": report_baseline,
     "decisions": decisions,
     "decision_reasons": decision_reasons,
+    "missing_metrics": missing_metrics,
     "fired_rules": fired_rules,
     "review_queue": review_queue,
     "verdict_merge": verdict_merge,
@@ -448,5 +561,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "curated_overwrite": curated_overwrite,
     "batch_run": batch_run,
     "batch_run_quarantine": batch_run_quarantine,
+    "batch_run_guarded": batch_run_guarded,
+    "batch_run_limits": batch_run_limits,
+    "batch_run_gated": batch_run_gated,
+    "batch_run_alerts": batch_run_alerts,
+    "daily_runs": daily_runs,
+    "two_feeds": two_feeds,
     "stream_available_now": stream_available_now,
+    "stream_two_calls": stream_two_calls,
 }

@@ -19,6 +19,9 @@ from pyspark.sql.types import (
 # The landing columns, in file order.
 RAW_COLUMNS = ("transactionid", "transactionts", "storeid", "productid", "amount", "quantity")
 
+# The file a row was read from, where that is known.
+LANDING_FILE = "landing_file"
+
 # Verdict names from the mildest to the most severe.
 DECISIONS = ("ALLOW", "ALLOW_WITH_WARNING", "ESCALATE", "QUARANTINE")
 PENDING = "PENDING_EVALUATION"
@@ -50,6 +53,7 @@ QUARANTINE = StructType(
 
 _COUNTS = MapType(StringType(), LongType())
 
+# The report's field names.
 REPORT = StructType(
     [
         StructField("source_date", StringType()),

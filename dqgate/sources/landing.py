@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType
 
 from dqgate.functions.lineage import join_small_keys
-from dqgate.schema import DEFAULTS, RAW, RAW_COLUMNS
+from dqgate.schema import DEFAULTS, LANDING_FILE, RAW, RAW_COLUMNS
 
 # Fixed value: the batch date inside a path.
 _DATE = r"dt=(\d{4}-\d{2}-\d{2})"
@@ -34,18 +36,40 @@ def path_date(path: Column) -> Column:
     return F.when(found == "", F.raise_error(problem)).otherwise(found)
 
 
-def read_landing(spark: SparkSession, path: str, dates: list[str] | None = None) -> DataFrame:
+def date_folders(path: str, dates: Sequence[str]) -> str:
+    """A path for the folders of these dates only, so that no other folder is listed."""
+    for date in dates:
+        if not re.fullmatch(_DATE_ONLY, date):
+            raise ValueError(f"not a date: {date!r}")
+    found = sorted({*dates}) or ["none"]
+    return f"{path.rstrip('/')}/dt={found[0] if len(found) == 1 else '{' + ','.join(found) + '}'}"
+
+
+def read_landing(
+    spark: SparkSession, path: str, dates: Sequence[str] | None = None, with_file: bool = False
+) -> DataFrame:
     """Landing CSV (header line, six text columns) plus ``dt`` as text.
 
+    All files below ``path`` are read, whatever their names (those Spark hides apart).
+    With ``dates`` only their folders are listed, where there are date folders.
+    ``with_file`` adds the path of each row's file.
+
     The date comes from the partition folders below ``path`` where there are any, so
     a filter on it (or ``dates``) skips whole folders and no row pays for it; else
     from ``path`` itself; else from the path of each file.
     """
-    rows = spark.read.option("header", True).schema(RAW).csv(path)
+    reader = spark.read.option("header", True).schema(RAW)
+    rows = None
+    if dates is not None and not re.search(_DATE, path):
+        rows = _found(lambda: reader.option("basePath", path).csv(date_folders(path, dates)))
+    rows = reader.csv(path) if rows is None else rows
+    if with_file:
+        rows = rows.withColumn(LANDING_FILE, F.col("_metadata.file_path"))
+    more = [LANDING_FILE] if with_file else []
     if "dt" in rows.columns:
         if dates is not None:
             rows = rows.where(F.col("dt").isin(*dates))
-        return rows.select(*RAW_COLUMNS, _checked_date(rows).alias("dt"))
+        return rows.select(*RAW_COLUMNS, _checked_date(rows).alias("dt"), *more)
     if re.search(_DATE, path):
         dated = rows.withColumn("dt", F.lit(batch_date(path)))
     else:
@@ -63,17 +87,28 @@ def _checked_date(rows: DataFrame) -> Column:
     )
 
 
-def landed_batches(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
-    """Batches with files under ``path``: ``dt, files, bytes``.
+def _found(read):
+    """What ``read`` returns, or None when nothing is there to be read."""
+    try:
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
 
-    Reads the file listing only; the unused content column is never loaded.
+def landed_batches(
+    spark: SparkSession, path: str, dates: Sequence[str] | None = None
+) -> DataFrame:
+    """Batches with files under ``path``, the same files as are read: ``dt, files, bytes``.
+
+    Reads the file listing only, of all folders or of those of ``dates``; the unused
+    content column is never loaded.
     """
-    listing = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", True)
-        .load(path)
-    )
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    listing = _found(lambda: reader.load(path if dates is None else date_folders(path, dates)))
+    if listing is None:
+        listing = spark.createDataFrame([], "path string, length bigint")
     return (
         listing.select(path_date(F.col("path")).alias("dt"), "length")
         .groupBy("dt")
@@ -98,14 +133,15 @@ def undersized_batches(
     """Batches below ``min_rows``: ``dt, raw_count, min_rows``.
 
     A file without any data row leaves no trace in ``rows``; pass the ``expected``
-    (or landed) dates to have such a batch counted as zero rows.
+    (or landed) dates to have such a batch counted as zero rows.  Batches with rows
+    count whether they are among those dates or not.
     """
     counted = rows.groupBy("dt").agg(F.count("*").alias("raw_count"))
     if expected is not None:
         counted = (
             expected.select("dt")
             .distinct()
-            .join(counted, "dt", "left")
+            .join(counted, "dt", "full")
             .select("dt", F.coalesce("raw_count", F.lit(0)).alias("raw_count"))
         )
     return counted.where(F.col("raw_count") < min_rows).withColumn(
@@ -114,11 +150,15 @@ def undersized_batches(
 
 
 def require_min_rows(undersized: DataFrame) -> None:
-    """Strict mode of the guard: an error naming the first few undersized batches."""
-    found = undersized.orderBy("dt").take(5)
-    if found:
+    """Strict mode of the guard: an error with the number of undersized batches and the first of them.
+
+    All of them are in ``undersized``; the job has stored them as failures by then.
+    """
+    number, first = undersized.agg(F.count("*"), F.min(F.struct("dt", "raw_count", "min_rows"))).first()
+    if number:
         raise TooFewRows(
-            "; ".join(f"{r['dt']}: row count {r['raw_count']} below minimum {r['min_rows']}" for r in found)
+            f"{number} undersized; first {first['dt']}: "
+            f"row count {first['raw_count']} below minimum {first['min_rows']}"
         )
 
 

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from dqgate.operators.rules import Rule
 from dqgate.plans.batch import BatchRun, Zones, run_batches
 from dqgate.schema import DEFAULTS, Thresholds
 from dqgate.sources.landing import path_date
-from dqgate.sources.reports import read_reports
 
-FILES_PER_TRIGGER = 1000
 _LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -22,27 +20,30 @@ def run_available_now(
     zones: Zones,
     checkpoint: str,
     *,
+    expected: DataFrame | None = None,
+    history: DataFrame | None = None,
+    verdicts: DataFrame | None = None,
+    rules: Sequence[Rule] | None = None,
     limits: Thresholds = DEFAULTS,
     strict: bool = False,
     gate: bool = False,
-    files_per_trigger: int = FILES_PER_TRIGGER,
+    baseline: str = "previous",
     on_batch: Callable[[BatchRun], None] | None = None,
 ) -> None:
     """Process every batch that got new files since the last call, then stop.
 
-    The stream only lists new files, without reading them, to learn their dates.  Each of these dates is then
-    processed as a whole from the landing folder, so a date whose files arrive in
-    several rounds ends up complete, and a round repeated after a failure rewrites
-    the same partitions.  No state and no watermark are needed.
+    The stream only lists new files, whatever their names and without reading them, to
+    learn their dates.  All new files of a call are one round, so each date is processed
+    once, as a whole, from the landing folder; a call repeated after a failure rewrites
+    the same partitions.  No state and no watermark are needed.  The other parameters
+    are those of ``run_batches``, which also stores alerts, failures and reviews.
 
-    A round has at most ``files_per_trigger`` dates, one per file.  A file dropped
-    again under its old name is not noticed; use ``run_batches`` with ``dates``.
+    A file dropped again under its old name is not noticed; use ``run_batches`` with
+    ``dates``.
     """
     arrivals = (
         spark.readStream.format("binaryFile")
         .schema(_LISTING)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .option("pathGlobFilter", "*.csv")
         .load(landing)
         .select(path_date(F.col("path")).alias("dt"))
     )
@@ -56,10 +57,14 @@ def run_available_now(
             landing,
             zones,
             dates=dates,
-            history=_history(spark, zones),
+            expected=expected,
+            history=history,
+            verdicts=verdicts,
+            rules=rules,
             limits=limits,
             strict=strict,
             gate=gate,
+            baseline=baseline,
         )
         if on_batch is not None:
             on_batch(run)
@@ -71,13 +76,3 @@ def run_available_now(
         .start()
     )
     query.awaitTermination()
-
-
-def _history(spark: SparkSession, zones: Zones) -> DataFrame | None:
-    """Reports written so far, or None before the first round has written any."""
-    try:
-        return read_reports(spark, zones.reports)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None

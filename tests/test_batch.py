@@ -10,8 +10,8 @@ from dqgate.functions.lineage import work_dir
 from dqgate.operators.classify import classify, curated, quarantine
 from dqgate.plans.batch import Zones, evaluate_batches, run_batches
 from dqgate.schema import QUARANTINE, Thresholds
-from dqgate.sources.landing import TooFewRows, expected_batches
-from dqgate.sources.reports import read_evaluated, read_reports, write_reports
+from dqgate.sources.landing import TooFewRows, expected_batches, landed_batches, read_landing
+from dqgate.sources.reports import read_evaluated, read_messages, read_reports, write_reports
 from dqgate.sources.tables import (
     clear_batches, read_curated, read_quarantine, write_curated, write_quarantine,
 )
@@ -276,3 +276,87 @@ def test_publish_gate_prunes_partitions(spark, tmp_path):
     out = publish_gate(read_curated(spark, path), final)
     assert {r.dt for r in out.select("dt").collect()} == {"2026-06-01", "2026-06-02", "2026-03-25"}
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_files_of_any_name_are_one_file_set(spark, tmp_path):
+    """Compressed or oddly named files are guarded, listed, read and picked up like others."""
+    import gzip
+
+    header = "transactionid,transactionts,storeid,productid,amount,quantity"
+    for date, name, n in (("2026-03-20", "transactions.csv.gz", 3), ("2026-03-21", "part.txt", 60)):
+        folder = tmp_path / "landing" / f"dt={date}"
+        folder.mkdir(parents=True)
+        text = "\n".join([header, *lines(n, date)]) + "\n"
+        (folder / name).write_bytes(gzip.compress(text.encode()) if name.endswith(".gz") else text.encode())
+    landing, zones = str(tmp_path / "landing"), Zones(str(tmp_path / "out"))
+    assert {r.dt: r.files for r in landed_batches(spark, landing).collect()} == {"2026-03-20": 1, "2026-03-21": 1}
+    seen = []
+    run_available_now(
+        spark, landing, zones, str(tmp_path / "checkpoint"), limits=Thresholds(min_rows=50),
+        expected=expected_batches(spark, "2026-03-20", "2026-03-21"), on_batch=seen.append,
+    )
+    (run,) = seen
+    assert [r.source_date for r in run.final.collect()] == ["2026-03-21"]
+    stored = read_messages(spark, zones.failures, ("subject", "message")).collect()
+    assert [r.message for r in stored] == [
+        "Pipeline failed for date 2026-03-20. Error: Row count 3 below minimum 50. Aborting."
+    ]
+    report = read_reports(spark, zones.reports).first()
+    assert report.s3_key.endswith("/landing/dt=2026-03-21/part.txt")
+
+
+def test_many_files_are_one_round(spark, tmp_path):
+    landing, zones, seen = str(tmp_path / "landing"), Zones(str(tmp_path / "out")), []
+    for i in range(6):
+        land(tmp_path / "landing", f"2026-03-2{i % 2}", *lines(10, f"2026-03-2{i % 2}", start=10 * i), name=f"f{i}.csv")
+    run_available_now(
+        spark, landing, zones, str(tmp_path / "checkpoint"), limits=LOOSE,
+        on_batch=lambda run: seen.append(sorted((r.source_date, r.raw_count) for r in run.final.collect())),
+    )
+    assert seen == [[("2026-03-20", 30), ("2026-03-21", 30)]]
+
+
+def test_one_date_lists_its_own_folder_only(spark, tmp_path):
+    landing = land(tmp_path / "landing", "2026-03-20", *lines(5, "2026-03-20"))
+    land(tmp_path / "landing", "2026-03-21", *lines(5, "2026-03-21"))
+    one = read_landing(spark, landing, ["2026-03-21"])
+    assert all("dt=2026-03-21" in f for f in one.inputFiles()) and one.count() == 5
+    listed = landed_batches(spark, landing, ["2026-03-21"])
+    assert [r.dt for r in listed.collect()] == ["2026-03-21"]
+    assert landed_batches(spark, landing, ["2026-03-25"]).count() == 0
+    assert read_landing(spark, landing, ["2026-03-20", "2026-03-21"]).count() == 10
+
+
+def test_gate_takes_back_what_a_blocked_batch_had_published(spark, tmp_path):
+    landing = land(tmp_path / "landing", "2026-03-20", *lines(10, "2026-03-20"))
+    zones = Zones(str(tmp_path / "out"))
+    run_batches(spark, landing, zones, limits=LOOSE, gate=True)
+    assert counts(read_curated(spark, zones.curated)) == {"2026-03-20": 10}
+    land(tmp_path / "landing", "2026-03-20", *lines(10, "2026-03-20", bad=5))
+    run_batches(spark, landing, zones, limits=LOOSE, gate=True)
+    assert counts(read_curated(spark, zones.curated)) == {}
+    assert [r.source_date for r in read_messages(spark, zones.alerts, ("subject", "message")).collect()] == ["2026-03-20"]
+    # Repaired: the alert goes away again.
+    land(tmp_path / "landing", "2026-03-20", *lines(10, "2026-03-20"))
+    run_batches(spark, landing, zones, limits=LOOSE, gate=True)
+    assert counts(read_curated(spark, zones.curated)) == {"2026-03-20": 10}
+    assert read_messages(spark, zones.alerts, ("subject", "message")).count() == 0
+
+
+def test_daily_use_needs_no_history(spark, tmp_path):
+    """The baseline is found in the stored reports, and a late day refreshes the day after it."""
+    landing, zones = str(tmp_path / "landing"), Zones(str(tmp_path / "out"))
+    for date, bad in (("2026-03-20", 0), ("2026-03-22", 4), ("2026-03-21", 3)):
+        land(tmp_path / "landing", date, *lines(100, date, bad=bad))
+        run_batches(spark, landing, zones, dates=[date], limits=LOOSE)
+        if date == "2026-03-22":
+            assert read_evaluated(spark, zones.evaluated).where("source_date = '2026-03-22'").first().batch_status == "ESCALATE"
+    final = {r.source_date: (r.batch_status, r.previous_invalid_rate) for r in read_evaluated(spark, zones.evaluated).collect()}
+    assert final == {"2026-03-20": ("ALLOW", None), "2026-03-21": ("ESCALATE", 0.0), "2026-03-22": ("ALLOW", 0.03)}
+
+
+def test_two_reports_of_a_date_are_two_reports(spark, tmp_path):
+    path = str(tmp_path / "reports")
+    first = GOLDEN[0][0]
+    write_reports(reports(spark, {**first, "s3_key": "a/dt=2026-06-01/f"}, {**first, "s3_key": "b/dt=2026-06-01/f"}), path)
+    assert sorted(r.s3_key for r in read_reports(spark, path).collect()) == ["a/dt=2026-06-01/f", "b/dt=2026-06-01/f"]

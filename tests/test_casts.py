@@ -53,3 +53,14 @@ def test_same_as_lenient_cast(spark, lenient, texts, mine, plain):
     spark.conf.set("spark.sql.ansi.enabled", "true")
     got = _values(spark, texts, mine(F.col("t")))
     assert [x for x in zip(texts, got, want) if x[1] != x[2]] == []
+
+
+def test_double_shapes_agree_with_the_lenient_cast(spark):
+    texts = [
+        "1", "+1", "-1.5", ".5", "5.", ".", "", " ", None, "1e5", "1E-5", "1e", "1e+", "1d", "1F", "1.5e3f", "1fd", "NaN",
+        "nan", "-NaN", "inf", "-Inf", "+Infinity", "INFINITY", "infinit", " 7 ", "\t7\n", "7\x00", "1 2", "1,5", "0x1p3",
+        "0x.8p1", "0x1", "--1", "+-1", "1..2", "1.2.3", "e5", "1_000", "١", "９", "1e400", "-1e400", "1e-400", "abc", "1a",
+    ]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = rows.select(parse_double(F.col("t")).alias("a"), F.col("t").try_cast("double").alias("b"))
+    assert [repr(r.a) for r in got.collect()] == [repr(r.b) for r in got.collect()]

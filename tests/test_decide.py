@@ -241,7 +241,7 @@ def test_failure_alerts(spark):
     }
 
 
-def test_publish_gate(spark, monkeypatch):
+def test_publish_gate(spark):
     final = without_review(decide(reports(spark, *[g[0] for g in GOLDEN])))
     rows = spark.createDataFrame([(g[0]["source_date"], i) for g in GOLDEN for i in range(3)], "dt string, i int")
     want = {("2026-06-01", 3), ("2026-06-02", 3), ("2026-03-25", 3)}
@@ -253,8 +253,12 @@ def test_publish_gate(spark, monkeypatch):
     small, got = counts()
     assert got == want
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    # Beyond the size bound no broadcast is asked for, with the same result.
-    monkeypatch.setattr("dqgate.functions.lineage.BROADCAST_ROWS", 1)
-    large, got = counts()
-    assert got == want
-    assert "broadcast" not in large._jdf.queryExecution().logical().toString().lower()
+    # Nothing asks for a broadcast: a key table above the planner's bound is shuffled, with the same result.
+    assert "broadcast" not in small._jdf.queryExecution().logical().toString().lower()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large, got = counts()
+        assert got == want
+        assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -1,5 +1,6 @@
 """Landing files, row rules and metrics on small hand-made inputs."""
 
+import re
 from collections import Counter
 
 import pytest
@@ -233,8 +234,17 @@ def test_plans(spark, tmp_path):
         plan = _plan(part)
         assert "Exchange" not in plan
         assert plan.count("gettimestamp(") == 1 and plan.count("try_cast(amount") == 1
-    # The report: one scan, one shuffle of ids, one of per-batch partials, no join.
+    # The report: only the duplicate branch shuffles ids; all else is one row per task and batch (and code).
     plan = _plan(quality_report(rows))
-    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 2
-    assert "Join" not in plan and "Python" not in plan
+    assert len(re.findall(r"Exchange hashpartitioning\(dt#\d+, transactionid#\d+", plan)) == 1
+    assert "Python" not in plan and "CartesianProduct" not in plan
     assert _plan(base_metrics(rows)).count("Exchange") == 1
+
+
+def test_rules_of_one_code_count_once(spark):
+    rules = [Rule("bad", CRITICAL, "i > 1"), Rule("other", CRITICAL, "i > 2"), Rule("bad", CRITICAL, "i > 3")]
+    rows = tag(spark.range(6).selectExpr("id AS i"), rules).orderBy("i").collect()
+    assert [list(r._reasons) for r in rows] == [[], [], ["bad"], ["bad", "other"], ["bad", "other"], ["bad", "other"]]
+    for code in ("it's", "a`b", "a,b", ""):
+        with pytest.raises(ValueError):
+            Rule(code, CRITICAL, "true")
