@@ -41,7 +41,7 @@ class Forest:
 
     trees: int = 96
     bits: int = 32
-    candidates: int = 8192
+    candidates: int = 4096
     shard_rows: int = 8192
     query_block: int = 1024
     neighbours: int = 20
