@@ -37,7 +37,7 @@ SHINGLE = 5
 #: Hash cells in which shingles are counted, to tell common ones from rare ones.
 CELL_BITS = 18
 #: Central members of a bucket that the others are compared with, one after the other.
-CENTRES = 2
+CENTRES = 1
 #: Classes of a family that a task compares with as many others.
 BLOCK = 512
 CELLS = 1 << CELL_BITS
@@ -364,11 +364,11 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """``class, component`` for every class in ``links`` (a, b); the least class names it.
 
-    Large and small star contractions alternate until no edge changes; an edge then
-    leads from each class straight to the least one.  Every round's edges are written.
+    Large and small star contractions alternate until no class that an edge leads to has
+    an edge of its own; each then leads straight to the least class.  Every round's edges
+    are written.
     """
     edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    state = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -382,14 +382,23 @@ def components(links: DataFrame) -> DataFrame:
             .unionByName(down.select("u", F.col("m").alias("v")))
         )
         edges = written(small.distinct())
-        seen = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(seen) == state:
+        ends = edges.select(F.col("u").alias("c"), F.lit(True).alias("from_here")).unionByName(
+            edges.select(F.col("v").alias("c"), F.lit(False).alias("from_here"))
+        )
+        both_ways = ends.groupBy("c").agg(F.max("from_here").alias("a"), F.min("from_here").alias("b")).where("a and not b")
+        several = edges.groupBy("u").agg(F.count("*").alias("n")).where("n > 1")
+        if both_ways.select("c").unionByName(several.select(F.col("u").alias("c"))).isEmpty():
             break
-        state = tuple(seen)
     own = edges.select(F.col("v").alias("class"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("class"), F.col("v").alias("component")).unionByName(own)
 
 
+def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The components of ``found`` with ``links`` added: the stars known so far are edges already."""
+    stars = found.where("class != component").select(F.col("class").alias("a"), F.col("component").alias("b"))
+    return written(components(stars.unionByName(links)))
+
+
 def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
     """``doc_id, text_hash, n_shingles, component_id, kept`` for each row of ``docs``."""
     signed = written(signatures(docs, banding))
@@ -409,15 +418,12 @@ def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
     def check(pairs: DataFrame) -> DataFrame:
         return written(confirmed(written(sketch_filter(pairs, sketches, banding)), sets, banding.percent))
 
-    links = check(central_pairs(members, 0, banding.percent))
-    found = written(components(links))
+    found = written(components(check(central_pairs(members, 0, banding.percent))))
     for which in range(1, CENTRES):
-        links = links.unionByName(check(central_pairs(members, which, banding.percent, found)))
-        found = written(components(links))
+        found = _joined(found, check(central_pairs(members, which, banding.percent, found)))
     still_open = written(open_members(members, found))
     families = written(candidate_groups(still_open, sets, banding.percent))
-    links = links.unionByName(written(family_links(families, sets, sketches, banding)))
-    found = written(components(links))
+    found = _joined(found, written(family_links(families, sets, sketches, banding)))
 
     ids = named.join(found, "class", "left").select(
         "class", "first_id", F.coalesce("component", "class").alias("component")
