@@ -200,9 +200,9 @@ def shingle_weights(sets: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(totals[used])], names=["cell", "n"])
 
     cells = sets.select("shingles").mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n"))
+    found = cells.toDF("cell", "n").toArrow()  # CELLS rows at most, in two columns
     weights = np.zeros(CELLS, dtype=np.int64)
-    for cell, n in cells.collect():  # CELLS rows at most
-        weights[cell] = n
+    weights[found.column("cell").to_numpy()] = found.column("n").to_numpy()
     return weights
 
 
