@@ -164,3 +164,27 @@ def test_neighbours_reach_recall(spark):
     recall = [len(set(np.argsort(-s)[:20]) & set(f.tolist())) / 20 for s, f in zip(scores, found)]
     assert np.mean(recall) >= 0.93
     assert np.mean([len(f) for f in found]) < 0.75 * len(x)
+
+
+@pytest.mark.parametrize("kind", ["gaussian", "lognormal", "one long", "unit"])
+def test_nearest_reaches_recall_at_unequal_norms(spark, kind):
+    """The whole query over two full shards, against brute force."""
+    from dqgate.llm.neighbours import Forest, nearest
+
+    rng = np.random.default_rng(17)
+    x = rng.standard_normal((16384, 64))
+    if kind != "gaussian":
+        x /= np.linalg.norm(x, axis=1)[:, None]
+    if kind == "lognormal":
+        x *= np.exp(0.5 * rng.standard_normal((len(x), 1)))
+    if kind == "one long":
+        x[7] *= 100
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id bigint, embedding array<double>")
+    got = nearest(rows, Forest(every=400)).toPandas()
+    recall = []
+    for query, own in got.groupby("query_id"):
+        scores = x @ x[query]
+        scores[query] = -np.inf
+        recall.append(len(set(np.argsort(-scores)[:20]) & set(own.vec_id)) / 20)
+    print(f"{kind}: recall {np.mean(recall):.4f}, least {min(recall):.2f}, {len(recall)} queries")
+    assert len(recall) == 41 and np.mean(recall) >= 0.98
