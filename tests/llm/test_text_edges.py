@@ -317,3 +317,29 @@ def test_pipeline_stages(spark, docs, tmp_path):
         assert name == "bpe" or rows.columns == docs.columns
     assert {r.doc_id for r in spark.read.parquet(str(tmp_path / "near_dedup")).collect()} == {1, 2, 8}
     assert {r.doc_id for r in rows.collect()} <= {1, 2, 8} and rows.agg({"n_tokens": "sum"}).first()[0] > 1000
+
+
+def test_licenses_in_other_words(spark):
+    gnu = "you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+    texts = {
+        "This tool is licensed under the MIT License, see below.": ["mit"],
+        "It is distributed under the MIT licence by us.": ["mit"],
+        "This program is free software: " + gnu.format("", "3"): ["gpl-3.0"],
+        "This library is free software; " + gnu.format("", "2"): ["gpl-2.0"],
+        "This one is free too: " + gnu.format("Affero ", "3"): ["agpl-3.0"],
+        "The files are released under the GNU General Public License version 2.": ["gpl-2.0"],
+        "The files are released under the GNU General Public License v3.0 today.": ["gpl-3.0"],
+        "Code available under the Apache License, Version 2.0 (the License).": ["apache-2.0"],
+        "All pictures are shared under CC BY-NC 4.0 by the author.": ["cc-by-nc-4.0"],
+        "under the Creative Commons Attribution-NonCommercial 4.0 International licence": ["cc-by-nc-4.0"],
+        # One word of the first passage is changed; the next passage is whole.
+        "Permission is hereby given, free of charge, to any person getting a copy of this software, to deal in the Software "
+        "without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense": ["mit-text"],
+        "Redistribution and reuse in source or binary form is fine. Redistributions of source code must retain the above copyright "
+        "notice, this list of conditions and the following disclaimer.": ["bsd"],
+        "The terms of the sale are published by the seller, either version will do.": [],
+        "Nobody was released under the general license of the house.": [],
+    }
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    got = {r.doc_id: [m.name for m in r.matches] for r in licenses.scan(rows).collect()}
+    assert {t: got[i] for i, t in enumerate(texts)} == texts
