@@ -56,8 +56,8 @@ UNWANTED = (
     "adult", "ads", "bet", "bets", "betting", "casino", "escort", "gambling", "hentai", "malware",
     "phishing", "pills", "poker", "porn", "sex", "slots", "spam", "viagra", "warez", "xxx",
 )
-#: What an unwanted word counts for as a word of the language, beside its own count.
-LEXICON_COUNT = 100
+#: Share of all words that each unwanted word has beside its own count, whatever the size of the table.
+LEXICON_SHARE = 0.001
 
 
 def with_host_and_path(pages: DataFrame) -> DataFrame:
@@ -104,7 +104,8 @@ def word_counts(pages: DataFrame, names: DataFrame) -> DataFrame:
     parts = names.select(F.explode(F.concat(runs_of_letters(apart), runs_of_letters(F.col("path")))).alias("word"))
     lexicon = F.explode(F.array(*[F.lit(w) for w in UNWANTED]))
     counted = said.unionByName(parts).groupBy("word").agg(F.count("*").alias("n"))
-    extra = pages.sparkSession.range(1).select(lexicon.alias("word"), F.lit(LEXICON_COUNT).cast("long").alias("n"))
+    # Not said by any page, they count by their share; see segmented.
+    extra = pages.sparkSession.range(1).select(lexicon.alias("word"), F.lit(0).cast("long").alias("n"))
     return (
         counted.unionByName(extra).where(F.length("word").between(2, MAX_WORD)).groupBy("word").agg(F.sum("n").alias("n"))
     )
@@ -146,6 +147,8 @@ def split_best(run: str, starts: Sequence[int], ends: Sequence[int], scores: Seq
 def segmented(runs: DataFrame, counts: DataFrame) -> DataFrame:
     """``run, words`` for each distinct ``run`` of letters."""
     total = counts.agg(F.sum("n")).first()[0] or 1
+    prior = F.when(F.col("word").isin(*UNWANTED), LEXICON_SHARE).otherwise(0.0)
+    part = (F.col("n") / float(total) + prior) / (1 + LEXICON_SHARE * len(UNWANTED))
     cut = F.explode(F.sequence(F.lit(1), F.length("run")))
     size = F.explode(F.sequence(F.lit(2), F.least(F.lit(MAX_WORD), F.length("run") - F.col("s") + 1)))
     parts = (
@@ -156,7 +159,7 @@ def segmented(runs: DataFrame, counts: DataFrame) -> DataFrame:
                 F.expr("substring(run, s, z)").alias("word"))
     )
     found = parts.join(counts, "word").select(
-        "run", F.struct("s", "e", F.log(F.col("n") / float(total)).alias("p")).alias("_m")
+        "run", F.struct("s", "e", F.log(part).alias("p")).alias("_m")
     )
     lists = found.groupBy("run").agg(F.sort_array(F.collect_list("_m")).alias("m"))
     rows = runs.join(lists, "run", "left").select("run", "m")

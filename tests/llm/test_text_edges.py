@@ -343,3 +343,12 @@ def test_licenses_in_other_words(spark):
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
     got = {r.doc_id: [m.name for m in r.matches] for r in licenses.scan(rows).collect()}
     assert {t: got[i] for i, t in enumerate(texts)} == texts
+
+
+def test_splits_do_not_depend_on_table_size(spark):
+    runs = spark.createDataFrame([("slotsun",), ("unpoker",)], "run string")
+    names = spark.createDataFrame([], "host string, path string")
+    for size in (1, 3000):
+        pages = spark.range(size).selectExpr("'<p>slot sun un</p>' as html")
+        got = {r.run: r.words for r in url_filter.segmented(runs, url_filter.word_counts(pages, names)).collect()}
+        assert got == {"slotsun": ["slot", "sun"], "unpoker": ["un", "poker"]}
