@@ -9,7 +9,8 @@ example to allow.
 
 Hosts and paths are taken apart once each, however many pages have them, and scores are
 joined back.  Word counts stay distributed: a run of letters asks only for the counts of
-its own substrings, at most ``MAX_WORD`` per letter, and is split within one row.
+its own substrings, at most ``MAX_WORD`` per letter, and of itself, however long; it is
+split within one row.
 
 Defined results: NULL url or one without ``://`` has an empty host and path and is
 allowed unless its words say otherwise (it has none); rows with equal or NULL page_id
@@ -107,7 +108,7 @@ def word_counts(pages: DataFrame, names: DataFrame) -> DataFrame:
     # Not said by any page, they count by their share; see segmented.
     extra = pages.sparkSession.range(1).select(lexicon.alias("word"), F.lit(0).cast("long").alias("n"))
     return (
-        counted.unionByName(extra).where(F.length("word").between(2, MAX_WORD)).groupBy("word").agg(F.sum("n").alias("n"))
+        counted.unionByName(extra).where(F.length("word") >= 2).groupBy("word").agg(F.sum("n").alias("n"))
     )
 
 
@@ -158,6 +159,10 @@ def segmented(runs: DataFrame, counts: DataFrame) -> DataFrame:
         .select("run", (F.col("s") - 1).alias("s"), (F.col("s") - 1 + F.col("z")).alias("e"),
                 F.expr("substring(run, s, z)").alias("word"))
     )
+    whole = runs.where(F.length("run") > MAX_WORD).select(
+        "run", F.lit(0).alias("s"), F.length("run").alias("e"), F.col("run").alias("word")
+    )
+    parts = parts.unionByName(whole)
     found = parts.join(counts, "word").select(
         "run", F.struct("s", "e", F.log(part).alias("p")).alias("_m")
     )

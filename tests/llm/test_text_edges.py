@@ -352,3 +352,12 @@ def test_splits_do_not_depend_on_table_size(spark):
         pages = spark.range(size).selectExpr("'<p>slot sun un</p>' as html")
         got = {r.run: r.words for r in url_filter.segmented(runs, url_filter.word_counts(pages, names)).collect()}
         assert got == {"slotsun": ["slot", "sun"], "unpoker": ["un", "poker"]}
+
+
+def test_long_words_stay_whole(spark):
+    word = "donaudampfschifffahrtsgesellschaft"
+    pages = spark.createDataFrame([(f"<p>{word} donau dampf schiff fahrt gesellschaft {word}</p>",)], "html string")
+    names = spark.createDataFrame([], "host string, path string")
+    runs = spark.createDataFrame([(word,), ("donaudampf",)], "run string")
+    got = {r.run: r.words for r in url_filter.segmented(runs, url_filter.word_counts(pages, names)).collect()}
+    assert got == {word: [word], "donaudampf": ["donau", "dampf"]}
