@@ -142,10 +142,101 @@ SELECT s.doc_id, len(w) AS n_words, coalesce(n, 0) AS n_licenses, coalesce(licen
 FROM split s LEFT JOIN listed l ON l.doc_id = s.doc_id
 """
 
+_TERMS = f"regexp_extract_all({_LOWER.format(text="coalesce(text, '')")}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+
+LEXICAL_SEARCH = f"""
+WITH docs AS (
+  SELECT row, doc_id, {_TERMS} AS w FROM (SELECT row_number() OVER () AS row, doc_id, text FROM documents)
+), known AS (
+  SELECT count(*) FILTER (len(w) > 0) AS n_docs, sum(len(w))::bigint AS total FROM docs
+), tfs AS (
+  SELECT row, doc_id, n, t, count(*) AS tf FROM (SELECT row, doc_id, len(w) AS n, unnest(w) AS t FROM docs) GROUP BY ALL
+), weights AS (
+  SELECT t, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::bigint AS weight FROM tfs, known GROUP BY t
+), asked AS (
+  SELECT DISTINCT item, item_id, t
+  FROM (SELECT row_number() OVER () AS item, item_id, unnest({_TERMS}) AS t FROM benchmark)
+), scored AS (
+  SELECT item, item_id, row, doc_id,
+    sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // total))))::bigint AS score
+  FROM asked JOIN tfs USING (t) JOIN weights USING (t), known GROUP BY ALL
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id)::int AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 50
+"""
+
+# The checksum by a table of 256 remainders, a byte of the text at a time.
+SPELLING = """
+WITH RECURSIVE bits(byte, step, value) AS (
+  SELECT range, 0, range FROM range(256)
+  UNION ALL
+  SELECT byte, step + 1, CASE WHEN value & 1 = 1 THEN xor(value >> 1, 3988292384) ELSE value >> 1 END FROM bits WHERE step < 8
+), remainders AS (
+  SELECT list(value ORDER BY byte) AS r FROM bits WHERE step = 8
+), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents
+), hashed AS (
+  SELECT run, xor(list_reduce(
+    list_prepend(4294967295::bigint, list_transform(range(1, strlen(hex(encode(key))) // 2 + 1),
+      lambda i: ('0x' || substr(hex(encode(key)), (2 * i - 1)::bigint, 2))::bigint)),
+    lambda a, b: xor(a >> 8, r[1 + (xor(a, b) & 255)])), 4294967295) AS h
+  FROM (SELECT run, coalesce(doc_id::varchar, '') || ':' || run AS key FROM runs WHERE length(run) >= 7), remainders
+), words AS (
+  SELECT word, count(*) AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed
+  ) WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2
+), cut AS (
+  SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS near FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT c.word, w.word FROM cut c JOIN words w ON w.word = c.rest
+  UNION SELECT w.word, c.word FROM cut c JOIN words w ON w.word = c.rest
+), best AS (
+  SELECT x.word, count(*) AS n_near, min({'n': -b.n, 'word': encode(x.near)}) AS top
+  FROM near x JOIN words b ON b.word = x.near GROUP BY x.word
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN -top.n >= 10 * w.n THEN decode(top.word) END AS form, CASE WHEN -top.n >= 10 * w.n THEN -top.n END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word
+), follow AS (
+  SELECT word, word AS last, 0 AS steps FROM forms
+  UNION ALL
+  SELECT f.word, n.form, steps + 1 FROM follow f JOIN forms n ON n.word = f.last WHERE n.form IS NOT NULL
+), roots AS (
+  SELECT word, arg_max(last, steps) AS root FROM follow GROUP BY word
+)
+SELECT f.word, form, root, n, n_near, form_n FROM forms f JOIN roots r ON r.word = f.word
+"""
+
+_ESCAPED = (
+    r"regexp_replace(regexp_replace({text}, '<(\\*(\|[A-Za-z0-9_]+\|>|/?s>))', '<\\\1', 'g'),"
+    r" '\[(\\*/?INST\])', '[\\\1', 'g')"
+)
+CHAT = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::bigint AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length('<|start|><|says|><|end|>') + length({_ESCAPED.format(text="role")}) + length({_ESCAPED.format(text="text")}))::bigint
+    AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
 ORACLES: dict[str, str] = {
     "op2_near_dedup": NEAR_DEDUP,
     "op4_line_rules": LINE_RULES,
     "op5_neighbours": NEIGHBOURS,
     "op7_licenses": LICENSES,
     "op9_line_dedup": LINE_DEDUP,
+    "op11_lexical_search": LEXICAL_SEARCH,
+    "op12_spelling": SPELLING,
+    "op13_chat": CHAT,
 }

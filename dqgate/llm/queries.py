@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dqgate.llm import (
     bpe,
+    chat,
     importance,
+    lexical,
     licenses,
     line_dedup,
     line_rules,
@@ -17,6 +19,7 @@ from dqgate.llm import (
     near_dedup,
     neighbours,
     sharding,
+    spelling,
     url_filter,
 )
 from dqgate.llm.common import ship_package, table
@@ -86,6 +89,27 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), damage=31)
+
+
+#: A conversation whose texts are made of control strings.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)], given.schema)
+    pieces = chat.format_conversations(chat.text_messages(given.unionByName(more)))
+    return chat.read_back(pieces).select(
+        "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"
+    )
+
+
 def _shipping(query: Query) -> Query:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,6 +130,9 @@ _ALL: dict[str, Query] = {
     "op8_bpe": op8_bpe,
     "op9_line_dedup": op9_line_dedup,
     "op10_sharding": op10_sharding,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_spelling": op12_spelling,
+    "op13_chat": op13_chat,
 }
 QUERIES: dict[str, Query] = {name: _shipping(query) for name, query in _ALL.items()}
 

@@ -20,7 +20,7 @@ pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test table
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for name in ("documents", "pages", "embeddings", "labels"):
+    for name in ("documents", "pages", "embeddings", "labels", "benchmark", "conversations"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
     return connection
 
