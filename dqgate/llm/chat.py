@@ -234,7 +234,10 @@ class _Pieces:
 
 
 def parsed_turns(formatted: str, template: Template = Template()) -> Iterator[tuple[str, list[tuple[str, str]]]]:
-    """(role, parts) of each turn of a piece; a part is (kind, text)."""
+    """(role, parts) of each turn of a piece; a part is (kind, text).
+
+    A turn without parts reads back as one empty text.
+    """
     _, unescape = template.escaping()
     kinds = {mark: kind for kind, mark in PLACEHOLDERS.items()}
     role, parts, at, open_text = "", [], 0, True

@@ -1,0 +1,303 @@
+"""Search, spelling variants and chat formatting against brute force, and their defined results."""
+
+import collections
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from dqgate.llm import chat, lexical, spelling
+from dqgate.llm.common import ship_package
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+RUN = re.compile(r"[A-Za-zÀ-ÿ]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+EXTRA = ", score bigint, rank int, item bigint, n int, word string, shard int, piece int, formatted string"
+CLASH = (1, 2, 3, 4, "w", 5, 6, "f")
+
+
+@pytest.fixture(scope="module", autouse=True)
+def shipped(spark):
+    ship_package(spark)
+
+
+# -- search -------------------------------------------------------------------
+
+
+def _terms(text):
+    return TERM.findall((text or "").translate(LOWER))
+
+
+def _scores(docs, text):
+    """All scores above 0 of one item, as (-score, doc_id missing, doc_id)."""
+    counts = [collections.Counter(_terms(t)) for _, t in docs]
+    lengths = [sum(c.values()) for c in counts]
+    number, total = sum(n > 0 for n in lengths), sum(lengths)
+    df = collections.Counter(t for c in counts for t in c)
+    found = []
+    for (doc, _), count, n in zip(docs, counts, lengths):
+        score = 0
+        for t in set(_terms(text)) & set(count):
+            m = 100 - 50 + 50 * n * number // total
+            weight = math.floor(1000 * math.log((2 * number + 2) / (2 * df[t] + 1)))
+            score += weight * (1000000000 * count[t] // (1000 * count[t] + 20 * m))
+        if score > 0:
+            found.append((-score, doc is None, doc or 0))
+    return sorted(found)
+
+
+def _texts(seed, number, letters="abcdé中", longest=60):
+    rng = random.Random(seed)
+    return [" ".join("".join(rng.choices(letters, k=rng.randint(1, 3))) for _ in range(rng.randint(0, longest))) for _ in range(number)]
+
+
+def test_search_against_brute_force(spark):
+    docs = list(enumerate(_texts(1, 300)))
+    docs += [(None, docs[0][1]), (7, docs[7][1]), (7, "a b"), (400, None), (401, " .,;\t"), (402, "A-b_C" * 40)]
+    items = [(1, t) for t in _texts(2, 4, longest=12)] + [(2, None), (3, ""), (None, docs[5][1]), (4, "zzz"), (5, "a " * 50)]
+    table = spark.createDataFrame([(*d, *CLASH) for d in docs], "doc_id bigint, text string" + EXTRA).repartition(5)
+    asked = spark.createDataFrame([(*i, *CLASH) for i in items], "item_id bigint, text string" + EXTRA)
+    for most in (lexical.TERMS, 7):  # one block of items, and several
+        rows = lexical.ranked_documents(table, asked, 20, most).collect()
+        got = collections.defaultdict(list)
+        for r in rows:
+            got[r.item_id].append((r["rank"], -r.score, r.doc_id is None, r.doc_id or 0))
+        want = collections.defaultdict(list)
+        for item, text in items:
+            want[item] += [(i + 1, *s) for i, s in enumerate(_scores(docs, text)[:20])]
+        assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items() if v}
+
+
+def test_search_of_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, "a")], "item_id bigint, text string")
+    assert lexical.ranked_documents(docs.limit(0), items).collect() == []
+    assert lexical.ranked_documents(docs, items.limit(0)).collect() == []
+    assert lexical.ranked_documents(spark.createDataFrame([(1, None)], docs.schema), items).collect() == []
+
+
+def test_blocks_leave_out_nothing_and_read_less():
+    """Block after block, with the bar of the blocks before, against all scores at once."""
+    rng = np.random.default_rng(3)
+    terms, docs = 40, 4000
+    df_share = np.geomspace(0.001, 0.9, terms)
+    weights = np.array([math.floor(1000 * math.log((2 * docs + 2) / (2 * s * docs + 1))) for s in df_share])
+    known = lexical.Statistics(docs, docs * 100, weights)
+    read = []
+    best = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    asked = np.arange(0, terms, 2)
+    all_scores = []
+    for block in range(4):
+        has = rng.random((1000, terms)) < df_share
+        has[::50] = has[0]  # copies: equal scores
+        tf = rng.geometric(0.5, (1000, terms))
+        tf[::50] = tf[0]
+        n = rng.integers(20, 400, 1000)
+        n[::50] = n[0]
+        sizes = has.sum(axis=1)
+        ids = np.arange(block * 1000, block * 1000 + 1000)
+        lists = lexical.Lists(ids, n, sizes, np.nonzero(has)[1], tf[has], known)
+        value = np.zeros((1000, terms), dtype=np.int64)
+        owner, term = np.nonzero(has)
+        value[owner, term] = lexical.impacts(tf[has], n[owner], weights[term], known)
+        all_scores.append(value[:, asked].sum(axis=1))
+        found, own = lists.best(asked, 50, best[1])
+        assert (own == all_scores[-1][found]).all()
+        read.append(len(found))
+        merged = np.concatenate([best[0], ids[found]]), np.concatenate([best[1], own])
+        order = np.lexsort((merged[0], -merged[1]))[:50]
+        best = merged[0][order], merged[1][order]
+    scores = np.concatenate(all_scores)
+    order = np.lexsort((np.arange(len(scores)), -scores))[:50]
+    assert (best[0] == order).all() and (best[1] == scores[order]).all()
+    assert read[-1] < 400
+
+
+def test_terms_of_long_texts():
+    """Texts longer than a chunk are cut between terms, wherever these are."""
+    rng = random.Random(5)
+    size = lexical.CHUNK_BYTES
+    texts = [
+        "x" * (5 * size // 2) + " end",
+        " ".join("".join(rng.choices("aBé9", k=rng.randint(1, 30))) for _ in range(size // 4)),
+        "", ".", "short text", "a" * 7 + " " + "a" * 8 + " " + "a" * 9 + " " + "A" * 16 + " " + "a" * 17,
+    ]
+    lists = [[] for _ in texts]
+    for row, hashes, bounds in lexical._counted(pa.array(texts)):
+        for i in range(len(bounds) - 1):
+            lists[row + i] += hashes[bounds[i] : bounds[i + 1]].tolist()
+    names = {}
+    for text, found in zip(texts, lists):
+        own = _terms(text)
+        assert len(own) == len(found)
+        for term, h in zip(own, found):
+            assert names.setdefault(h, term) == term
+    assert len(set(names.values())) == len(names)
+
+
+# -- spelling -----------------------------------------------------------------
+
+
+def _near(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) - len(a) == 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def _variants(counts, ratio):
+    out = {}
+    for word, n in counts.items():
+        near = [(-counts[o], o) for o in counts if _near(word, o)]
+        top = min(near) if near else None
+        form = top if top and -top[0] >= ratio * n else None
+        out[word] = (form and form[1], n, len(near), form and -form[0])
+    rows = []
+    for word, (form, n, near, form_n) in out.items():
+        root = word
+        while out[root][0]:
+            root = out[root][0]
+        rows.append((word, form, root, n, near, form_n))
+    return sorted(rows, key=repr)
+
+
+@pytest.mark.parametrize("letters", ["ab", "abcdefgé"])
+def test_index_against_all_pairs(letters):
+    rng = random.Random(letters)
+    for size in (1, 3, 60, 250):
+        words = sorted({"".join(rng.choices(letters, k=rng.randint(2, 8))) for _ in range(size)})
+        asked = words + ["".join(rng.choices(letters + "z", k=rng.randint(2, 8))) for _ in range(60)]
+        index = spelling.Index(words)
+        for first_half in (True, False):
+            owner, target = spelling.near_words(index, asked, first_half)
+            got = list(zip(owner.tolist(), target.tolist()))
+            want = set()
+            for i, q in enumerate(asked):
+                half = len(q) // 2
+                for j, w in enumerate(words):
+                    exact = w.startswith(q[:half]) if first_half else w.endswith(q[half:])
+                    if exact and _near(q, w):
+                        want.add((i, j))
+            assert len(got) == len(set(got)) and set(got) == want
+
+
+@pytest.mark.parametrize("shard_words", [5, 16384])
+def test_spelling_against_brute_force(spark, monkeypatch, shard_words):
+    monkeypatch.setattr(spelling, "SHARD_WORDS", shard_words)
+    monkeypatch.setattr(spelling, "VISITORS", 3)
+    rng = random.Random(8)
+    base = ["abcdefgh", "abcdefgg", "àbcdefgh", "ABCDEFGHI", "zbcdefgh", "aaaaaaaa", "aaaaaaa", "×÷ðñòóô"]
+    texts = [" ".join(rng.choices(base, weights=(300, 20, 1, 3, 2, 5, 40, 9), k=80)) + " short! abcdef9" for _ in range(40)]
+    texts += [None, "", "a" * 4000 + " " + "a" * 4000, "x" * 9 + "1" + "y" * 9, "Abcdefgh." * 3000]
+    rows = [(i if i % 7 else None, t, *CLASH) for i, t in enumerate(texts)] + [(3, texts[3], *CLASH)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string" + EXTRA).repartition(3)
+    counts = collections.Counter()
+    for doc, text, *_ in rows:
+        for run in RUN.findall(text or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            if len(run) >= 7:
+                counts[run] += 1
+    counts = {w: n for w, n in counts.items() if n >= 2}
+    found = spelling.spelling_variants(docs, damage=31)
+    assert found.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    got = sorted((tuple(r) for r in found.collect()), key=repr)
+    assert got == _variants(counts, 10) and any(r[1] for r in got)
+
+
+def test_chains_of_forms(spark):
+    counts = {"aaaaaaaa": 2, "aaaaaaab": 20, "aaaaaabb": 200, "aaaaabbb": 2000, "aaaabbbb": 20000, "zzzzzzzz": 5}
+    words = spark.createDataFrame(list(counts.items()), "word string, n bigint")
+    got = sorted((tuple(r) for r in spelling.variants(words).collect()), key=repr)
+    assert got == _variants(counts, 10)
+    assert {r[0]: r[2] for r in got}["aaaaaaaa"] == "aaaabbbb"
+    assert spelling.variants(words.limit(0)).collect() == []
+
+
+# -- chat ---------------------------------------------------------------------
+
+ESCAPE, UNESCAPE = chat.Template().escaping()
+CONTROL = re.compile(r"<\|[A-Za-z0-9_]+\|>|</?s>|\[/?INST\]")
+PIECES = ["<", "[", "\\", "|", "s>", "/s>", "INST]", "/INST]", "<|end|>", "<|x|>", "</s>", "[INST]", "a", "\n", "é", "<\\|end|>"]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=12).map("".join))
+def test_escaping_is_reversible(text):
+    assert UNESCAPE(ESCAPE(text)) == text
+    assert not CONTROL.search(ESCAPE(text))
+
+
+def test_controls_that_cannot_be_escaped():
+    for control in ("x", "END", "<a<", "[x[y]"):
+        with pytest.raises(ValueError):
+            chat.Template(controls=(control,))
+
+
+def _part(kind, **more):
+    return {n: more.get(n) for n in ("text", "ref", "width", "height", "seconds", "pages")} | {"kind": kind}
+
+
+def _ordered(part):
+    return tuple(part[n] for n in ("kind", "text", "ref", "width", "height", "seconds", "pages"))
+
+
+def test_parts_become_placeholders(spark):
+    user = [
+        _part("text", text="look <|image|>"), _part("image", ref="a.png", width=57, height=28), _part("text", text="and"),
+        _part("text", text=""), _part("audio", ref="b.wav", seconds=1.01), _part("document", ref="c.pdf", pages=3),
+        _part("video", ref="d"), _part("image", ref=None), _part(None, ref="e"), _part("audio", seconds=float("nan")),
+    ]
+    answer = [_part("text", text="[INST]"), _part("image", ref="f", width=-4, height=5), _part("text", text="done")]
+    schema = f"conv_id bigint, turn bigint, role string, parts array<{chat.PART}>"
+    rows = [(1, 2, "assistant", [_ordered(p) for p in answer]), (1, 1, "user", [_ordered(p) for p in user]), (1, None, None, None)]
+    pieces = chat.format_conversations(spark.createDataFrame(rows, schema))
+    (row,) = pieces.collect()
+    assert [(a.turn, a.kind, a.ref, a.tokens) for a in row.attachments] == [
+        (0, "image", "a.png", 3), (0, "audio", "b.wav", 26), (0, "document", "c.pdf", 1536), (0, "file", "d", 1),
+        (0, "image", None, 1), (0, "file", "e", 1), (0, "audio", None, 1), (1, "image", "f", 1),
+    ]
+    assert row.expanded_tokens == sum(a.tokens for a in row.attachments)
+    turns = list(chat.parsed_turns(row.formatted))
+    assert [(r, [k for k, _ in p]) for r, p in turns] == [
+        ("user", ["text", "image", "text", "text", "audio", "document", "file", "image", "file", "audio"]),
+        ("assistant", ["text", "image", "text"]), ("", ["text"]),
+    ]
+    assert turns[0][1][0] == ("text", "look <|image|>") and turns[0][1][2:4] == [("text", "and"), ("text", "")]
+    assert [UNESCAPE(row.formatted[s.start : s.end]) for s in row.loss] == ["[INST]", "done"]
+    back = chat.read_back(pieces).first()
+    assert (back.n_turns, back.n_attachments, back.expanded_tokens, back.loss_chars) == (3, 8, row.expanded_tokens, 10)
+
+
+def test_conversations_in_pieces(spark, tmp_path):
+    """Long, NULL, empty and repeated turns; stored pieces read back like those of the same plan."""
+    long = "é</s>" * 300_000
+    given = [(1, i, "assistant" if i % 2 else "user", long if i in (3, 4) else f"t{i}\\") for i in range(60)]
+    given += [(2, 1, "user", None), (2, 0, "assistant", ""), (2, 0, "assistant", ""), (None, 1, None, "x"), (None, None, "assistant", "[INST]\n")]
+    rows = [(*g, *CLASH) for g in given]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string" + EXTRA).repartition(4)
+    pieces = chat.format_conversations(chat.text_messages(table))
+    path = str(tmp_path / "pieces")
+    pieces.write.parquet(path)
+    stored = chat.stored_in_order(spark.read.parquet(path))
+    assert stored.where("conv_id = 1").count() > 1
+    want = {}
+    for conv in (1, 2, None):
+        turns = sorted((g[1] is None, g[1] or 0, g[2] or "", g[3] or "") for g in given if g[0] == conv)
+        said = "".join(t for _, _, role, t in turns if role == "assistant")
+        whole = "".join(f"{role}\n{t}\n" for _, _, role, t in turns)
+        formatted = sum(len("<|start|><|says|><|end|>") + len(role) + len(ESCAPE(t)) for _, _, role, t in turns)
+        want[conv] = (len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(said),
+                      hashlib.sha256(said.encode()).hexdigest(), formatted)
+    for read in (chat.read_back(pieces), chat.read_back(stored)):
+        got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256, r.formatted_chars) for r in read.collect()}
+        assert got == want
+    assert chat.read_back(chat.format_conversations(chat.text_messages(table.limit(0)))).collect() == []
