@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from dqgate.functions.files import delete
+
+
 def work_dir(spark: SparkSession) -> str:
     """A new folder under ``spark.checkpoint.dir``, the folder all executors share.
 
@@ -29,15 +32,15 @@ def written(df: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def release(spark: SparkSession, path: str) -> None:
-    """Free the space of a table made by ``written``, by writing no rows over it."""
-    spark.createDataFrame([], "released boolean").write.mode("overwrite").parquet(path)
+    """Free the space of a table made by ``written``, or of a whole working folder."""
+    delete(spark, path)
 
 
-def join_small_keys(rows: DataFrame, keys: DataFrame, on: str, how: str) -> DataFrame:
+def join_small_keys(rows: DataFrame, keys: DataFrame, on: str, how: str, path: str | None = None) -> DataFrame:
     """Semi- or anti-join many ``rows`` with a per-batch table of ``keys``.
 
-    The keys are written first, so the planner knows their size: it broadcasts a small
+    The keys are written first (to ``path``, if given), so the planner knows their size: it broadcasts a small
     table (and a scan partitioned by the key skips the other partitions) and joins a
     large one by shuffle, with adaptive skew splitting for a hot key.
     """
-    return rows.join(written(keys.select(on).distinct()), on, how)
+    return rows.join(written(keys.select(on).distinct(), path), on, how)

@@ -59,18 +59,18 @@ def decision_rank(name: Column) -> Column:
 
 # -- baseline -----------------------------------------------------------------
 
-# What the landing file's path says before the batch date tells one feed from another.
-_FEED = "substring_index(s3_key, '/dt=', 1)"
-
-
 def with_baseline(
     reports: DataFrame,
     history: DataFrame | None = None,
     baseline: str = "previous",
     refresh: bool = False,
+    feed: str | None = None,
 ) -> DataFrame:
     """Reports with the rates of the batch before, in date order and per feed.
 
+    ``feed`` is a column of ``reports`` and ``history`` that names the feed; without it all
+    reports are of one feed.
+
     ``history`` holds reports of earlier runs; a date present in both counts with its
     new report.  The batch before is the latest one that exists, however long ago.
     With ``refresh`` the stored report that follows a new one is returned too, since the
@@ -85,9 +85,10 @@ def with_baseline(
         raise ValueError(f"unknown baseline: {baseline!r}")
 
     columns = reports.columns
-    rows = reports.withColumns({"_feed": F.expr(_FEED), "_new": F.lit(True)})
+    of_feed = F.lit("") if feed is None else F.col(feed)
+    rows = reports.withColumns({"_feed": of_feed, "_new": F.lit(True)})
     if history is not None:
-        old = history.select(*columns).withColumns({"_feed": F.expr(_FEED), "_new": F.lit(False)})
+        old = history.select(*columns).withColumns({"_feed": of_feed, "_new": F.lit(False)})
         # One pass over each side: merging by key instead of anti-joining the new
         # dates keeps the (possibly costly) report plan from running twice.
         rest = [name for name in rows.columns if name not in ("_feed", "source_date")]

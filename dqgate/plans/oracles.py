@@ -357,6 +357,13 @@ ORACLES: dict[str, str] = {
 
 # The same alerts, stored by the job.
 ORACLES["batch_run_alerts"] = ORACLES["alerts"]
+# The same rows and decisions, whatever the order and the number of runs.
+ORACLES["gate_refresh"] = ORACLES["batch_run_gated"]
+ORACLES["flat_landing"] = ORACLES["stream_changed_file"] = _STORED
+ORACLES["verdict_rerun"] = (
+    "SELECT source_date, final_decision AS batch_status, agent_reasoning, agent_actions "
+    f"FROM ({ORACLES['verdict_merge']})"
+)
 
 _FEED = "SELECT '{0}' AS feed, source_date, decision AS batch_status, raw_count, invalid_count, previous_invalid_rate FROM ({1})"
 _DECIDED = _with("ranked", "SELECT * FROM ranked")

@@ -9,15 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from dqgate.functions.lineage import work_dir
 from dqgate.operators import classify as cl, decide as de, metrics as me, route as ro
 from dqgate.operators.rules import CRITICAL, WARNING, Rule
-from dqgate.plans.batch import Zones, run_batches
+from dqgate.plans.batch import evaluate_batches, run_batches
 from dqgate.schema import RAW_COLUMNS, Thresholds
 from dqgate.sources import landing as la
-from dqgate.sources.reports import read_evaluated, read_messages, read_reports, write_reports
-from dqgate.sources.tables import (
-    read_curated,
-    read_quarantine,
-    write_curated,
-)
+from dqgate.sources.manifest import Committed
+from dqgate.sources.reports import read_reports, write_reports
+from dqgate.sources.tables import read_curated, write_curated
+from dqgate.sources.zones import Zones
 from dqgate.streaming.pickup import run_available_now
 
 # Landing rows from the events table, with faults added by key arithmetic.  The text
@@ -427,7 +425,7 @@ def batch_run(spark, sf_dir):
 
 
 def _stored(spark, zones):
-    return read_evaluated(spark, zones.evaluated).select(
+    return Committed(spark, zones).evaluated().select(
         "source_date", "batch_status", "raw_count", "invalid_count", "previous_invalid_rate",
         F.array_join("decision_reasons", " | ").alias("reasons"),
     )
@@ -439,7 +437,7 @@ def batch_run_guarded(spark, sf_dir):
     zones, rows = Zones(base), landing(spark, sf_dir)
     limits = Thresholds(min_rows=mean_rows(rows))
     run_batches(spark, _land(spark, sf_dir, base), zones, limits=limits, strict=False)
-    failed = read_messages(spark, zones.failures, ("subject", "message"))
+    failed = Committed(spark, zones).failures()
     return _stored(spark, zones).select("source_date", F.lit("decision").alias("kind"), F.col("batch_status").alias("text")).unionByName(
         failed.select("source_date", F.lit("failure").alias("kind"), F.col("message").alias("text"))
     )
@@ -450,16 +448,78 @@ def batch_run_limits(spark, sf_dir):
     base = work_dir(spark)
     zones = Zones(base)
     run_batches(spark, _land(spark, sf_dir, base), zones, limits=OTHER_LIMITS)
-    return read_evaluated(spark, zones.evaluated).select("source_date", "batch_status", "invalid_count", "valid_count", "warning_count")
+    return Committed(spark, zones).evaluated().select(
+        "source_date", "batch_status", "invalid_count", "valid_count", "warning_count"
+    )
 
 
 def batch_run_gated(spark, sf_dir):
     """All batches published, then the whole job again with the gate: no row of a blocked batch is left."""
     base = work_dir(spark)
     zones, path = Zones(base), _land(spark, sf_dir, base)
-    write_curated(cl.curated(cl.classify(la.read_landing(spark, path))), zones.curated)
+    run_batches(spark, path, zones, limits=NO_GUARD)
     run_batches(spark, path, zones, limits=NO_GUARD, gate=True)
-    return _zoneless(read_curated(spark, zones.curated), "transactionts")
+    return _zoneless(Committed(spark, zones).curated(), "transactionts")
+
+
+def gate_refresh(spark, sf_dir):
+    """The gate with batches in reverse pairs of days: a later first day changes what the second one is compared with.
+
+    All even days run first, each compared with the even day before it, then all odd days: a batch that is
+    blocked or let out by its new baseline is withdrawn or published without being run again.
+    """
+    base = work_dir(spark)
+    zones, path = Zones(base), _land(spark, sf_dir, base)
+    dates = sorted(r["dt"] for r in la.landed_batches(spark, path).select("dt").collect())
+    for part in (dates[1::2], dates[::2]):
+        run_batches(spark, path, zones, dates=part, limits=NO_GUARD, gate=True)
+    return _zoneless(Committed(spark, zones).curated(), "transactionts")
+
+
+def verdict_rerun(spark, sf_dir):
+    """Reviews are given once; then every other day is run again, and all days are decided again: none is lowered."""
+    base = work_dir(spark)
+    zones, path = Zones(base), _land(spark, sf_dir, base)
+    verdicts = spark.sql(VERDICT_SQL, batches=landing(spark, sf_dir).select("dt"))
+    run_batches(spark, path, zones, limits=NO_GUARD, verdicts=verdicts)
+    dates = sorted(r["dt"] for r in la.landed_batches(spark, path).select("dt").collect())
+    run_batches(spark, path, zones, dates=dates[::2], limits=NO_GUARD)
+    evaluate_batches(spark, zones)
+    return Committed(spark, zones).evaluated().select(
+        "source_date", "batch_status", "agent_reasoning", F.array_join("agent_actions", ",").alias("agent_actions")
+    )
+
+
+def flat_landing(spark, sf_dir):
+    """Files with the date in their names, no date folders: with dates and expected dates given, day after day.
+
+    No failure is stored, and the batch before is known: decisions as stored, with the failures.
+    """
+    base = work_dir(spark)
+    zones = Zones(base)
+    _write_flat(spark, landing(spark, sf_dir), zones.landing)
+    dates = sorted(r["dt"] for r in la.landed_batches(spark, zones.landing).select("dt").collect())
+    half = len(dates) // 2
+    for part in (dates[:half], dates[half:]):
+        expected = spark.createDataFrame([(d,) for d in part], "dt string")
+        run_batches(spark, zones.landing, zones, dates=part, expected=expected, limits=NO_GUARD)
+    done = Committed(spark, zones)
+    failed = done.failures().select("source_date", F.lit("failure").alias("batch_status"))
+    return _stored(spark, zones).unionByName(failed, allowMissingColumns=True)
+
+
+def _write_flat(spark, rows: DataFrame, path: str) -> None:
+    """Landing files named after their date, side by side in one folder."""
+    folders = path + "-folders"
+    _write_landing(rows, folders)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folders).select("path").collect()
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    target = hadoop.Path(path)
+    system = target.getFileSystem(conf)
+    system.mkdirs(target)
+    for i, row in enumerate(files):
+        source = hadoop.Path(row["path"])
+        system.rename(source, hadoop.Path(target, f"{source.getParent().getName()}-{i}.csv"))
 
 
 def batch_run_alerts(spark, sf_dir):
@@ -468,7 +528,7 @@ def batch_run_alerts(spark, sf_dir):
     zones, path = Zones(base), _land(spark, sf_dir, base)
     run_batches(spark, path, zones, limits=NO_GUARD)
     run_batches(spark, path, zones, limits=NO_GUARD)
-    return read_messages(spark, zones.alerts, ("subject", "message"))
+    return Committed(spark, zones).alerts()
 
 
 def daily_runs(spark, sf_dir):
@@ -484,14 +544,15 @@ def daily_runs(spark, sf_dir):
 
 
 def two_feeds(spark, sf_dir):
-    """Two feeds with the same dates below one folder, the second with some of the rows of the first."""
+    """The default feed and another one, with some of its rows and the same dates, below one folder; both run twice."""
     base = work_dir(spark)
     parts = []
     for feed, rows in (("first", landing(spark, sf_dir)), ("second", landing(spark, sf_dir).where(_LATE))):
-        zones = Zones(base, feed)
+        zones = Zones(base) if feed == "first" else Zones(base, "refunds")
         _write_landing(rows, zones.landing)
-        run_batches(spark, zones.landing, zones, limits=NO_GUARD)
         parts.append((feed, zones))
+    for _, zones in (*parts, *parts):
+        run_batches(spark, zones.landing, zones, limits=NO_GUARD)
     found = [_stored(spark, zones).withColumn("feed", F.lit(feed)) for feed, zones in parts]
     return found[0].unionByName(found[1]).select("feed", "source_date", "batch_status", "raw_count", "invalid_count", "previous_invalid_rate")
 
@@ -506,11 +567,37 @@ def stream_two_calls(spark, sf_dir):
     return _stored(spark, zones)
 
 
+def stream_changed_file(spark, sf_dir):
+    """Three calls: some rows of each day, the same files dropped again with all rows, and nothing new."""
+    base = work_dir(spark)
+    zones, rows = Zones(base), landing(spark, sf_dir)
+    for part in (rows.where(_LATE), rows, None):
+        if part is not None:
+            _write_named(spark, part, zones.landing, f"{base}/drop")
+        run_available_now(spark, zones.landing, zones, f"{base}/checkpoint", limits=NO_GUARD)
+    return _stored(spark, zones)
+
+
+def _write_named(spark, rows: DataFrame, path: str, drop: str) -> None:
+    """One file per day, under the same name each time."""
+    _write_landing(rows, drop, "overwrite")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(drop).select("path").collect()
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    system = hadoop.Path(path).getFileSystem(conf)
+    number: dict[str, int] = {}
+    for row in sorted(files, key=lambda r: r["path"]):
+        source = hadoop.Path(row["path"])
+        day = source.getParent().getName()
+        number[day] = number.get(day, -1) + 1
+        target = hadoop.Path(f"{path}/{day}/transactions-{number[day]}.csv")
+        system.mkdirs(target.getParent())
+        system.delete(target, False)
+        system.rename(source, target)
+
+
 def batch_run_quarantine(spark, sf_dir):
     """The whole job from CSV files; its quarantine table as stored."""
-    return _zoneless(
-        read_quarantine(spark, _run(spark, sf_dir).quarantine), "transactionts_parsed"
-    )
+    return _zoneless(Committed(spark, _run(spark, sf_dir)).quarantine(), "transactionts_parsed")
 
 
 def stream_available_now(spark, sf_dir):
@@ -567,6 +654,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_run_alerts": batch_run_alerts,
     "daily_runs": daily_runs,
     "two_feeds": two_feeds,
+    "gate_refresh": gate_refresh,
+    "verdict_rerun": verdict_rerun,
+    "flat_landing": flat_landing,
+    "stream_changed_file": stream_changed_file,
     "stream_available_now": stream_available_now,
     "stream_two_calls": stream_two_calls,
 }

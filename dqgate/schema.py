@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql.types import (
     ArrayType,
+    BooleanType,
     DoubleType,
     IntegerType,
     LongType,
@@ -115,6 +116,25 @@ VERDICT = StructType(
 )
 
 
+# One row of a feed's manifest: what counts for a batch.
+MANIFEST = StructType(
+    [
+        StructField("source_date", StringType()),
+        StructField("data_id", LongType()),
+        StructField("data_run", StringType()),
+        StructField("report_run", StringType()),
+        StructField("decision_run", StringType()),
+        StructField("failure_run", StringType()),
+        StructField("valid_count", LongType()),
+        StructField("invalid_count", LongType()),
+        StructField("decision", StringType()),
+        StructField("final_decision", StringType()),
+        StructField("gated", BooleanType()),
+        StructField("reviewed", BooleanType()),
+    ]
+)
+
+
 @dataclass(frozen=True)
 class Thresholds:
     """Every limit used by the row rules, the metrics and the batch decision."""

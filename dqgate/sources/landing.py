@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DateType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from dqgate.functions.lineage import join_small_keys
 from dqgate.schema import DEFAULTS, LANDING_FILE, RAW, RAW_COLUMNS
@@ -36,55 +37,13 @@ def path_date(path: Column) -> Column:
     return F.when(found == "", F.raise_error(problem)).otherwise(found)
 
 
-def date_folders(path: str, dates: Sequence[str]) -> str:
-    """A path for the folders of these dates only, so that no other folder is listed."""
+def _any_of(dates: Sequence[str]) -> str:
+    """A glob for the batch dates given."""
     for date in dates:
         if not re.fullmatch(_DATE_ONLY, date):
             raise ValueError(f"not a date: {date!r}")
     found = sorted({*dates}) or ["none"]
-    return f"{path.rstrip('/')}/dt={found[0] if len(found) == 1 else '{' + ','.join(found) + '}'}"
-
-
-def read_landing(
-    spark: SparkSession, path: str, dates: Sequence[str] | None = None, with_file: bool = False
-) -> DataFrame:
-    """Landing CSV (header line, six text columns) plus ``dt`` as text.
-
-    All files below ``path`` are read, whatever their names (those Spark hides apart).
-    With ``dates`` only their folders are listed, where there are date folders.
-    ``with_file`` adds the path of each row's file.
-
-    The date comes from the partition folders below ``path`` where there are any, so
-    a filter on it (or ``dates``) skips whole folders and no row pays for it; else
-    from ``path`` itself; else from the path of each file.
-    """
-    reader = spark.read.option("header", True).schema(RAW)
-    rows = None
-    if dates is not None and not re.search(_DATE, path):
-        rows = _found(lambda: reader.option("basePath", path).csv(date_folders(path, dates)))
-    rows = reader.csv(path) if rows is None else rows
-    if with_file:
-        rows = rows.withColumn(LANDING_FILE, F.col("_metadata.file_path"))
-    more = [LANDING_FILE] if with_file else []
-    if "dt" in rows.columns:
-        if dates is not None:
-            rows = rows.where(F.col("dt").isin(*dates))
-        return rows.select(*RAW_COLUMNS, _checked_date(rows).alias("dt"), *more)
-    if re.search(_DATE, path):
-        dated = rows.withColumn("dt", F.lit(batch_date(path)))
-    else:
-        dated = rows.withColumn("dt", path_date(F.col("_metadata.file_path")))
-    return dated if dates is None else dated.where(F.col("dt").isin(*dates))
-
-
-def _checked_date(rows: DataFrame) -> Column:
-    """Partition value as text, refusing folders that are not dates."""
-    text = F.col("dt").cast("string")
-    if isinstance(rows.schema["dt"].dataType, DateType):
-        return F.coalesce(text, F.raise_error(F.lit("landing folder without a date")).cast("string"))
-    return F.when(text.rlike(_DATE_ONLY), text).otherwise(
-        F.raise_error(F.concat(F.lit("landing folder is not a date: "), F.coalesce(text, F.lit("null"))))
-    )
+    return f"dt={found[0] if len(found) == 1 else '{' + ','.join(found) + '}'}"
 
 
 def _found(read):
@@ -97,23 +56,142 @@ def _found(read):
         return None
 
 
-def landed_batches(
-    spark: SparkSession, path: str, dates: Sequence[str] | None = None
-) -> DataFrame:
-    """Batches with files under ``path``, the same files as are read: ``dt, files, bytes``.
+@dataclass(frozen=True)
+class Listing:
+    """Landing files of some dates: what the scan reads, and the guard, the missing check and the pickup look at.
+
+    ``files`` has ``path, dt, length, modified``; ``by_date`` one :class:`Landed` per date.
+    """
+
+    root: str
+    files: DataFrame
+    by_date: dict[str, Landed]
+
+    @property
+    def in_folders(self) -> bool:
+        """Whether every file is below a folder of its date directly below the root."""
+        return all(b.in_folder for b in self.by_date.values())
+
+    def batches(self) -> DataFrame:
+        """``dt, files, bytes, s3_key``; ``s3_key`` names all files of the batch."""
+        rows = [(d, b.files, b.bytes, b.s3_key) for d, b in sorted(self.by_date.items())]
+        return self.files.sparkSession.createDataFrame(rows, "dt string, files bigint, bytes bigint, s3_key string")
+
+
+@dataclass(frozen=True)
+class Landed:
+    """The files of one batch; ``data_id`` changes with any of their paths, lengths and modification times."""
+
+    files: int
+    bytes: int
+    data_id: int
+    s3_key: str
+    in_folder: bool
 
-    Reads the file listing only, of all folders or of those of ``dates``; the unused
-    content column is never loaded.
+
+#: Of a batch of more files than this, the report names their number and folder.
+NAMED_FILES = 1000
+
+
+def list_landing(spark: SparkSession, path: str, dates: Sequence[str] | None = None) -> Listing:
+    """Files below ``path`` (those Spark hides apart), whatever their names and however deep.
+
+    With ``dates``, only entries of ``path`` with one of the dates in their name are listed, be they folders or
+    files; only if a date is not found so, everything below ``path`` is.  The date comes from the path of the
+    file, so it may also be in the file's name or in ``path`` itself.  Contents are never loaded.
     """
+    path = path.rstrip("/")
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    listing = _found(lambda: reader.load(path if dates is None else date_folders(path, dates)))
-    if listing is None:
-        listing = spark.createDataFrame([], "path string, length bigint")
-    return (
-        listing.select(path_date(F.col("path")).alias("dt"), "length")
-        .groupBy("dt")
-        .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+
+    def listed(where: str) -> DataFrame | None:
+        found = _found(lambda: reader.load(where))
+        if found is None:
+            return None
+        named = found.select("path", path_date(F.col("path")).alias("dt"), "length", F.col("modificationTime").alias("modified"))
+        return named if dates is None else named.where(F.col("dt").isin(*dates))
+
+    whole = dates is None or re.search(_DATE, path) is not None
+    files = listed(path if whole else f"{path}/*{_any_of(dates)}*")
+    by_date = _by_date(files, path)
+    if not whole and not {*dates} <= {*by_date}:
+        files = listed(path)
+        by_date = _by_date(files, path)
+    if files is None:
+        files = spark.createDataFrame([], "path string, dt string, length bigint, modified timestamp")
+    return Listing(path, files, by_date)
+
+
+def _by_date(files: DataFrame | None, root: str) -> dict[str, Landed]:
+    if files is None:
+        return {}
+    below = F.element_at(F.split("path", F.lit(re.escape(root.split(":", 1)[-1].lstrip("/")) + "/"), 2), -1)
+    folder = F.regexp_replace("path", r"[^/]*\z", "")
+    rows = (
+        files.groupBy("dt")
+        .agg(
+            F.count("*").alias("files"),
+            F.sum("length").alias("bytes"),
+            # Combines in any order; no two files are alike in all three.
+            F.bit_xor(F.xxhash64("path", "length", "modified")).alias("data_id"),
+            F.array_sort(F.collect_list("path")).alias("paths"),
+            F.min(folder).alias("folder"),
+            F.bool_and(F.startswith(below, F.concat(F.lit("dt="), F.col("dt"), F.lit("/")))).alias("in_folder"),
+        )
+        .withColumn(
+            "s3_key",
+            F.when(F.col("files") <= NAMED_FILES, F.array_join("paths", ",")).otherwise(
+                F.format_string("%d files from %s on", "files", "folder")
+            ),
+        )
+        .drop("paths", "folder")
+        .collect()
     )
+    return {r["dt"]: Landed(r["files"], r["bytes"], r["data_id"], r["s3_key"], r["in_folder"]) for r in rows}
+
+
+def read_landing(
+    spark: SparkSession,
+    path: str,
+    dates: Sequence[str] | None = None,
+    with_file: bool = False,
+    listing: Listing | None = None,
+) -> DataFrame:
+    """Landing CSV (header line, six text columns) plus ``dt`` as text.
+
+    The files are those of ``listing``, by default of :func:`list_landing`.  ``with_file``
+    adds the path of each row's file.
+
+    Where all files are in date folders, only the folders of these dates are read, the date
+    comes from the folder, and a filter on it skips whole folders; else it comes from the path of
+    each row's file.
+    """
+    listing = list_landing(spark, path, dates) if listing is None else listing
+    reader = spark.read.option("header", True).schema(RAW)
+    root, found = listing.root, sorted(listing.by_date)
+    if not found and dates is None:
+        reader.csv(root)  # an error if there is no such folder
+    if not found:
+        rows = spark.createDataFrame([], RAW).withColumn("dt", F.lit(None).cast("string"))
+        return rows.withColumn(LANDING_FILE, F.lit(None).cast("string")) if with_file else rows
+    if re.search(_DATE, root):
+        rows = reader.option("recursiveFileLookup", True).csv(root).withColumn("dt", F.lit(batch_date(root)))
+    elif listing.in_folders:
+        # Naming dt keeps it text instead of an inferred date.
+        dated = reader.schema(StructType([*RAW.fields, StructField("dt", StringType())])).option("basePath", root)
+        rows = dated.csv(root if dates is None else f"{root}/{_any_of(found)}")
+    else:
+        rows = reader.option("recursiveFileLookup", True).csv(root)
+        rows = rows.withColumn("dt", path_date(F.col("_metadata.file_path")))
+        rows = rows if dates is None else rows.where(F.col("dt").isin(*found))
+    more = [F.col("_metadata.file_path").alias(LANDING_FILE)] if with_file else []
+    return rows.select(*RAW_COLUMNS, "dt", *more)
+
+
+def landed_batches(
+    spark: SparkSession, path: str, dates: Sequence[str] | None = None
+) -> DataFrame:
+    """Batches with files under ``path``, the same files as are read: ``dt, files, bytes``."""
+    return list_landing(spark, path, dates).batches().drop("s3_key")
 
 
 def expected_batches(spark: SparkSession, first: str, last: str) -> DataFrame:
@@ -136,7 +214,11 @@ def undersized_batches(
     (or landed) dates to have such a batch counted as zero rows.  Batches with rows
     count whether they are among those dates or not.
     """
-    counted = rows.groupBy("dt").agg(F.count("*").alias("raw_count"))
+    return undersized_counts(rows.groupBy("dt").agg(F.count("*").alias("raw_count")), min_rows, expected)
+
+
+def undersized_counts(counted: DataFrame, min_rows: int = DEFAULTS.min_rows, expected: DataFrame | None = None) -> DataFrame:
+    """The same, from ``dt, raw_count`` of each batch."""
     if expected is not None:
         counted = (
             expected.select("dt")
@@ -162,6 +244,6 @@ def require_min_rows(undersized: DataFrame) -> None:
         )
 
 
-def without_batches(rows: DataFrame, batches: DataFrame) -> DataFrame:
+def without_batches(rows: DataFrame, batches: DataFrame, path: str | None = None) -> DataFrame:
     """Backfill mode of the guard: the rows of all other batches."""
-    return join_small_keys(rows, batches, "dt", "left_anti")
+    return join_small_keys(rows, batches, "dt", "left_anti", path)

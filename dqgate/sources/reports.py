@@ -1,14 +1,16 @@
-"""Quality reports as JSON, one folder per batch."""
+"""Quality reports as JSON, one folder per batch, as other systems write and read them.
+
+The job's own reports are those of ``dqgate/sources/manifest.py``.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
-from dqgate.schema import EVALUATED, REPORT
+from dqgate.schema import REPORT
 
 
 def read_reports(
@@ -44,50 +46,3 @@ def write_reports(reports: DataFrame, path: str) -> None:
         .partitionBy("dt")
         .json(path)
     )
-
-
-def stored_reports(spark: SparkSession, path: str) -> DataFrame | None:
-    """All reports under ``path``, or None before any has been written."""
-    try:
-        return read_reports(spark, path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
-def write_messages(messages: DataFrame, dates: DataFrame, path: str) -> None:
-    """Messages (with ``source_date``) under ``dt=<source_date>``, replaced for all of ``dates``.
-
-    A date of ``dates`` (``source_date``) without a message is stored as a row of NULLs, so that one it had
-    before goes away.
-    """
-    rows = dates.select("source_date").distinct().join(messages, "source_date", "full")
-    (
-        rows.withColumn("dt", F.col("source_date"))
-        .repartition("dt")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("ignoreNullFields", False)
-        .partitionBy("dt")
-        .json(path)
-    )
-
-
-def read_messages(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """Stored messages: ``source_date`` and the text ``columns``."""
-    schema = StructType([StructField(name, StringType()) for name in ("source_date", *columns)])
-    rows = spark.read.schema(schema).json(path).select(*schema.names)
-    return rows.where(F.col(columns[-1]).isNotNull())
-
-
-def read_evaluated(spark: SparkSession, path: str) -> DataFrame:
-    return read_reports(spark, path, schema=EVALUATED)
-
-
-def write_evaluated(evaluated: DataFrame, path: str) -> None:
-    """Reports with their decisions, in a zone of their own.
-
-    Spark cannot overwrite files it is reading, so they do not go over the reports.
-    """
-    write_reports(evaluated.select(*EVALUATED.names), path)

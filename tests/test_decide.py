@@ -111,26 +111,22 @@ def test_limits_are_parameters(spark):
 # -- baseline
 
 
-def key(feed, date):
-    return f"landing/{feed}/dt={date}/transactions.csv"
-
-
 def previous(df):
     return {(r.s3_key, r.source_date): r.previous_invalid_rate for r in df.collect()}
 
 
 def test_baseline_is_the_batch_before_of_the_same_feed(spark):
     rows = [
-        report("2026-01-01", 0.01, s3_key=key("a", "2026-01-01")),
-        report("2026-01-05", 0.02, s3_key=key("a", "2026-01-05")),
-        report("2026-01-03", 0.09, s3_key=key("b", "2026-01-03")),
+        report("2026-01-01", 0.01, s3_key="a"),
+        report("2026-01-05", 0.02, s3_key="a"),
+        report("2026-01-03", 0.09, s3_key="b"),
     ]
+    by_feed = reports(spark, *rows).withColumn("feed", F.col("s3_key"))
+    got = previous(with_baseline(by_feed, feed="feed"))
+    assert got == {("a", "2026-01-01"): None, ("a", "2026-01-05"): 0.01, ("b", "2026-01-03"): None}
+    # Without a feed they are all of one, wherever the files were.
     got = previous(with_baseline(reports(spark, *rows)))
-    assert got == {
-        (key("a", "2026-01-01"), "2026-01-01"): None,
-        (key("a", "2026-01-05"), "2026-01-05"): 0.01,
-        (key("b", "2026-01-03"), "2026-01-03"): None,
-    }
+    assert got == {("a", "2026-01-01"): None, ("b", "2026-01-03"): 0.01, ("a", "2026-01-05"): 0.09}
 
 
 def test_baseline_from_history_and_rerun(spark):
