@@ -9,9 +9,9 @@ makes them equally long (zero for queries), so that near in angle means large in
 
 That coordinate says nothing about direction, and would drown the others of short vectors
 beside a long one.  So the index is in order of norm, and is cut into shards of a fixed
-size and these into bands of like norm, each with its own forest and maximum; small bands
-are scored in full.  Queries are sent to all shards in blocks: a stated set of queries
-against all rows.  Trees thus have about the same depth, and recall, whatever the size
+size and these into bands of like norm, each with its own forest and maximum; in a small band
+the ascent ends at the root by itself.  Queries are sent to all shards in blocks: a stated set of
+queries against all rows.  Trees thus have about the same depth, and recall, whatever the size
 of the table and its norms.  Equal vectors are one entry with their smallest ids, so many
 copies neither fill a shard nor multiply work.
 
@@ -37,6 +37,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dqgate.llm.common import ranked, written
 
+#: Queries whose candidates are scored at once.
+TOGETHER = 64
+
 
 @dataclass(frozen=True)
 class Forest:
@@ -44,10 +47,10 @@ class Forest:
 
     trees: int = 96
     bits: int = 32
-    candidates: int = 12288
+    candidates: int = 8192
     shard_rows: int = 8192
     band_ratio: float = 1.15
-    query_block: int = 1024
+    query_block: int = 16384
     neighbours: int = 20
     every: int = 20
     seed: int = 11
@@ -81,57 +84,87 @@ def entries(rows: DataFrame, forest: Forest = Forest()) -> DataFrame:
     return ranked(grouped.withColumn("_norm", squares), ["_norm", "v"], "entry").select("entry", "v", "ids")
 
 
-def _labels(x: np.ndarray, planes: np.ndarray) -> np.ndarray:
-    """One number per tree (row) and vector (column); the first hyperplane is the top bit."""
-    trees, bits, _ = planes.shape
-    out = np.zeros((trees, len(x)), dtype=np.uint64)
-    for t in range(trees):
-        signs = (x @ planes[t].T) > 0
-        for b in range(bits):
-            out[t] = (out[t] << np.uint64(1)) | signs[:, b]
+def _depth(number: int, forest: Forest) -> int:
+    """Bits that matter among so many entries; longer prefixes hold none but equal ones."""
+    return min(forest.bits, int(np.ceil(np.log2(number + 1))) + 8)
+
+
+def _planes(dimension: int, forest: Forest) -> np.ndarray:
+    rng = np.random.default_rng(forest.seed)
+    return rng.standard_normal((forest.trees, forest.bits, dimension + 1), dtype=np.float32)
+
+
+def _labels(x: np.ndarray, planes: np.ndarray, depth: int) -> np.ndarray:
+    """One number of ``depth`` bits per tree (row) and vector (column); the first hyperplane is the top bit."""
+    x = x.astype(np.float32)
+    out = np.zeros((len(planes), len(x)), dtype=np.uint64)
+    for t, normals in enumerate(planes):
+        signs = (normals[:depth] @ x.T) > 0
+        for bit in signs:
+            out[t] = (out[t] << np.uint64(1)) | bit
     return out
 
 
+class Trees:
+    """The forest of one band: for each tree the sorted bit strings of the entries."""
+
+    def __init__(self, x: np.ndarray, most: float, planes: np.ndarray, depth: int) -> None:
+        """``most`` is the greatest squared norm."""
+        extra = np.sqrt(np.maximum(most - (x * x).sum(axis=1), 0))
+        own = _labels(np.column_stack([x, extra]), planes, depth)
+        self.order = np.argsort(own, axis=1, kind="stable")
+        self.arrays = np.take_along_axis(own, self.order, axis=1)
+        self.depth = depth
+
+    def ranges(self, asked: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per tree and query, the places of the entries that share the first ``length`` bits."""
+        low, high = np.empty(asked.shape, dtype=np.int64), np.empty(asked.shape, dtype=np.int64)
+        rest = (self.depth - length).astype(np.uint64)
+        for t, array in enumerate(self.arrays):
+            prefix = asked[t] >> rest
+            low[t] = np.searchsorted(array, prefix << rest, side="left")
+            high[t] = np.searchsorted(array, (prefix + np.uint64(1)) << rest, side="left")
+        return low, high
+
+    def matches(self, asked: np.ndarray, enough: int) -> tuple[np.ndarray, np.ndarray]:
+        """The places where the ascent ends: as long a prefix, the same in all trees, as gives ``enough`` matches.
+
+        Shorter prefixes match no fewer entries, so the ascent's end is found by halving its
+        way.  Of the last bit only as many trees go up as needed; the others stay one bit deeper.
+        With too few entries the ascent ends at the root.
+        """
+        number = asked.shape[1]
+        fine, over = np.zeros(number, dtype=np.int64), np.full(number, self.depth + 1, dtype=np.int64)
+        while (unsure := over - fine > 1).any():
+            middle = (fine + over) // 2
+            low, high = self.ranges(asked, middle)
+            met = (high - low).sum(axis=0) >= enough
+            fine, over = np.where(unsure & met, middle, fine), np.where(unsure & ~met, middle, over)
+        low, high = self.ranges(asked, fine)
+        deep_low, deep_high = self.ranges(asked, np.minimum(fine + 1, self.depth))
+        matched, was = high - low, deep_high - deep_low
+        gained = was.sum(axis=0) + np.cumsum(matched - was, axis=0)
+        spare = np.vstack([was.sum(axis=0)[None], gained[:-1]]) >= enough
+        spare &= fine < self.depth
+        return np.where(spare, deep_low, low), np.where(spare, deep_high, high)
+
+
 def search_shard(x: np.ndarray, q: np.ndarray, most: float, forest: Forest) -> Iterator[np.ndarray]:
-    """For each query the entries of one band that its descent and ascent give.
+    """For each query the entries of one band that its descent and ascent give."""
+    planes, depth = _planes(x.shape[1], forest), _depth(len(x), forest)
+    asked = _labels(np.column_stack([q, np.zeros(len(q))]), planes, depth)
+    for part in found_in(Trees(x, most, planes, depth), asked, forest):
+        yield from (np.flatnonzero(row) for row in part)
 
-    ``most`` is the greatest squared norm.
-    """
-    rng = np.random.default_rng(forest.seed)
-    planes = rng.standard_normal((forest.trees, forest.bits, x.shape[1] + 1))
-    extra = np.sqrt(np.maximum(most - (x * x).sum(axis=1), 0))
-    own = _labels(np.column_stack([x, extra]), planes)
-    asked = _labels(np.column_stack([q, np.zeros(len(q))]), planes)
-    order = np.argsort(own, axis=1, kind="stable")
-    arrays = np.take_along_axis(own, order, axis=1)
-
-    # The ascent: all trees at one prefix length; queries with enough matches stop.
-    low = np.zeros((forest.trees, len(q)), dtype=np.int64)
-    high = np.zeros_like(low)
-    todo = np.arange(len(q))
-    for length in range(min(forest.bits, int(np.ceil(np.log2(len(x) + 1))) + 8), -1, -1):
-        rest = np.uint64(forest.bits - length)
-        before = (low[:, todo], high[:, todo])
-        for t in range(forest.trees):
-            prefix = asked[t, todo] >> rest
-            low[t, todo] = np.searchsorted(arrays[t], prefix << rest, side="left")
-            high[t, todo] = np.searchsorted(arrays[t], (prefix + np.uint64(1)) << rest, side="left")
-        matched = high[:, todo] - low[:, todo]
-        enough = matched.sum(axis=0) >= forest.candidates
-        # Of the last bit only as many trees as needed; the other trees stay one bit deeper.
-        was = before[1] - before[0]
-        gained = was.sum(axis=0) + np.cumsum(matched - was, axis=0)
-        spare = enough & (np.vstack([was.sum(axis=0)[None], gained[:-1]]) >= forest.candidates)
-        low[:, todo] = np.where(spare, before[0], low[:, todo])
-        high[:, todo] = np.where(spare, before[1], high[:, todo])
-        todo = todo[~enough]
-        if not len(todo):
-            break
-    for i in range(len(q)):
-        found = np.zeros(len(x), dtype=bool)
-        for t in range(forest.trees):
-            found[order[t, low[t, i] : high[t, i]]] = True
-        yield np.flatnonzero(found)
+
+def found_in(trees: Trees, asked: np.ndarray, forest: Forest) -> Iterator[np.ndarray]:
+    """For ``TOGETHER`` queries at a time, which entries the forest gives (rows: queries)."""
+    low, high = trees.matches(asked, forest.candidates)
+    for first in range(0, asked.shape[1], TOGETHER):
+        part = np.zeros((min(TOGETHER, asked.shape[1] - first), trees.order.shape[1]), dtype=bool)
+        for i, row in enumerate(part, first):
+            row[np.concatenate([places[a:b] for places, a, b in zip(trees.order, low[:, i], high[:, i])])] = True
+        yield part
 
 
 def bands(norms: np.ndarray, forest: Forest) -> list[np.ndarray]:
@@ -146,34 +179,58 @@ def bands(norms: np.ndarray, forest: Forest) -> list[np.ndarray]:
 
 
 def search_bands(x: np.ndarray, q: np.ndarray, forest: Forest) -> Iterator[np.ndarray]:
-    """For each query the entries of one shard to be scored: all of small bands, else what the forest gives."""
+    """For ``TOGETHER`` queries at a time, the entries of one shard that the forests of its bands give (rows: queries)."""
     peak = np.abs(x).max(axis=1)
     flat = x / peak[:, None]
     lengths = np.sqrt((flat * flat).sum(axis=1))
     # By logarithm, as the product of the two could be out of range.
     logs = np.log(peak) + np.log(lengths)
     norms = np.exp(logs - logs.max())
-    asked = q / np.abs(q).max(axis=1)[:, None]
-    in_full, searched = [], []
+    planes, depth = _planes(x.shape[1], forest), _depth(len(x), forest)
+    directions = q / np.abs(q).max(axis=1)[:, None]
+    asked = _labels(np.column_stack([directions, np.zeros(len(q))]), planes, depth)
+    searched = []
     for band in bands(norms, forest):
-        if 8 * len(band) <= forest.candidates:
-            in_full.append(band)
-            continue
         even = flat[band] * (norms[band] / norms[band[0]] / lengths[band])[:, None]
-        searched.append((band, search_shard(even, asked, 1.0, forest)))
-    always = np.concatenate(in_full) if in_full else np.zeros(0, dtype=np.int64)
-    for _ in range(len(q)):
-        yield np.sort(np.concatenate([always, *(band[next(found)] for band, found in searched)]))
+        searched.append((band, found_in(Trees(even, 1.0, planes, depth), asked, forest)))
+    for first in range(0, len(q), TOGETHER):
+        part = np.zeros((min(TOGETHER, len(q) - first), len(x)), dtype=bool)
+        for band, found in searched:
+            part[:, band] = next(found)
+        yield part
 
 
 def products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Inner products in double precision, added up in the order of the components."""
+    """Inner products of rows in double precision, added up in the order of the components."""
     total = np.zeros(len(x))
-    for d in range(x.shape[1]):
-        total += x[:, d] * q[d]
+    with np.errstate(over="ignore", invalid="ignore"):
+        for d in range(x.shape[1]):
+            total += x[:, d] * q[:, d]
     return total
 
 
+def best_found(x: np.ndarray, q: np.ndarray, found: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, entry, score) of the ``found`` entries (rows: queries) that can be among the ``keep`` best.
+
+    A matrix product, good to some rounding, leaves out entries that are worse by more than
+    that; what is left is scored exactly.
+    """
+    with np.errstate(over="ignore", invalid="ignore"):
+        rough = q @ x.T
+        longest = np.sqrt((x * x).sum(axis=1).max(initial=0.0))
+        slack = 8 * x.shape[1] * np.finfo(float).eps * longest * np.sqrt((q * q).sum(axis=1))
+    certain = np.isfinite(rough).all(axis=1) & np.isfinite(slack)
+    rough[~certain] = 0.0  # out of range: all that is found is scored exactly
+    rough[~found] = -np.inf
+    if x.shape[0] > keep:
+        least = np.partition(rough, len(x) - keep, axis=1)[:, len(x) - keep]
+        near = rough >= (least - np.where(certain, 2 * slack, 0.0))[:, None]
+    else:
+        near = found.copy()
+    query, entry = np.nonzero(near & found)
+    return query, entry, products(x[entry], q[query])
+
+
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     whole = column.combine_chunks()
     flat = whole.flatten().to_numpy(zero_copy_only=False)
@@ -204,16 +261,17 @@ def matches(index: DataFrame, queries: DataFrame, forest: Forest = Forest()) ->
             x, q = _matrix(left.column("v")), _matrix(right.column("v"))
             names, firsts = left.column("entry").to_numpy(), left.column("first_id").to_numpy()
             asked_by = right.column("query").to_numpy()
-            for i, found in enumerate(search_bands(x, q, forest)):
-                scores = products(x[found], q[i])
-                if len(found) > keep:
-                    # All entries as good as the last one kept; of equals, smaller ids first.
-                    near = scores >= np.partition(scores, len(scores) - keep)[len(scores) - keep]
-                    found, scores = found[near], scores[near]
-                best = np.lexsort((firsts[found], -scores))[:keep]
-                out_q.append(np.full(len(best), asked_by[i]))
-                out_e.append(names[found[best]])
-                out_s.append(scores[best])
+            for k, found in enumerate(search_bands(x, q, forest)):
+                first = k * TOGETHER
+                query, entry, scores = best_found(x, q[first : first + TOGETHER], found, keep)
+                # Of equal scores, smaller ids first.
+                order = np.lexsort((firsts[entry], -scores, query))
+                query, entry, scores = query[order], entry[order], scores[order]
+                place = np.arange(len(query)) - np.searchsorted(query, query)
+                kept = place < keep
+                out_q.append(asked_by[first + query[kept]])
+                out_e.append(names[entry[kept]])
+                out_s.append(scores[kept])
         made = [np.concatenate(a) if a else np.zeros(0) for a in (out_q, out_e, out_s)]
         return pa.table(
             [pa.array(made[0].astype(np.int64)), pa.array(made[1].astype(np.int64)), pa.array(made[2].astype(np.float64))],
