@@ -48,13 +48,13 @@ def line_passes(line: Column, rules: LineRules = LineRules()) -> Column:
 
     - punctuation: a short line (fewer than ``open_line_words`` words) must not end open
     - symbols: at most ``max_line_symbols`` per cent of the characters are markup symbols
-    - shouting: a line with capitals has small letters too
+    - shouting: a line with several capitals has other letters too, small ones or ones without case
     - navigation and boilerplate: fixed phrases
     """
     few = rf"^[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){{1,{rules.open_line_words - 1}}}\z"
     short_and_open = ~line.rlike(PUNCTUATED) & line.rlike(few)
     symbols = F.regexp_count(line, F.lit(SYMBOLS)) * 100 > F.length(line) * rules.max_line_symbols
-    shouting = ~line.rlike(r"\p{Ll}") & line.rlike(r"\p{Lu}[^\n]*\p{Lu}")
+    shouting = ~line.rlike(r"[\p{Ll}\p{Lo}\p{Lm}]") & line.rlike(r"\p{Lu}[^\n]*\p{Lu}")
     bad = short_and_open | symbols | shouting | line.rlike(NAVIGATION) | line.rlike(BOILERPLATE)
     return ~bad
 

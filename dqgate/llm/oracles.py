@@ -54,7 +54,7 @@ WITH split AS (
       (NOT regexp_matches(x, '[.!?:;,…。！？"''”’»)\]\x{{2013}}\x{{2014}}-][\x20\x09-\x0D]*\z')
         AND len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) BETWEEN 1 AND 4)
       OR len(regexp_extract_all(x, '[#*$%&|<>]')) * 100 > length(x) * 5
-      OR (NOT regexp_matches(x, '\p{{Ll}}') AND regexp_matches(x, '\p{{Lu}}[^\n]*\p{{Lu}}'))
+      OR (NOT regexp_matches(x, '[\p{{Ll}}\p{{Lo}}\p{{Lm}}]') AND regexp_matches(x, '\p{{Lu}}[^\n]*\p{{Lu}}'))
       OR regexp_matches(x, '(?i)^[\x20\x09-\x0D]*(home|menu|next|previous|back|top|log ?in|sign (in|up)|register|contact( us)?|about( us)?|site ?map|skip to (main )?content|search|share|read more)[\x20\x09-\x0D]*([|>»/·•][^\n]*)?\z')
       OR regexp_matches(x, '(?i)(javascript|cookie policy|use of cookies|uses cookies|privacy policy|terms of (use|service)|all rights reserved|lorem ipsum|click here|subscribe to our|powered by)')
     )) AS passed

@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from dqgate.llm import (
@@ -160,6 +161,20 @@ def test_single_lines(spark):
     assert {r.x: r.ok for r in rows.collect()} == lines
 
 
+def test_scripts_without_case_are_not_shouting(spark):
+    """Acronyms in Japanese, Arabic or Hindi lines; whole documents of such lines stay."""
+    lines = {
+        "NASAは今日、FBIと共に新しい計画を発表した。": True, "أعلنت وكالة NASA اليوم عن خطة جديدة.": True,
+        "आज NASA और FBI ने नई योजना बताई।.": True, "THE AGENCY TOLD US TODAY.": False, "ДОБРО ПОЖАЛОВАТЬ СЮДА.": False,
+    }
+    rows = spark.createDataFrame(list(lines.items()), "x string, ok boolean").withColumn("ok2", line_rules.line_passes(F.col("x")))
+    assert {r.x: r.ok2 for r in rows.collect()} == lines
+    words = [f"كلمة{chr(0x0627 + i % 28)}{chr(0x0627 + i // 28)}" for i in range(90)]
+    text = "\n".join(" ".join(words[i : i + 9]) + " NASA." for i in range(0, 90, 9))
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    assert line_rules.cleaned_documents(docs).first().text == text
+
+
 def test_neighbours(spark):
     nan, inf = float("nan"), float("inf")
     vectors = [
