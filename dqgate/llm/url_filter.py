@@ -9,7 +9,7 @@ example to allow.
 
 Hosts and paths are taken apart once each, however many pages have them, and scores are
 joined back.  Word counts stay distributed: a run of letters asks only for the counts of
-its own substrings, at most ``MAX_WORD`` per letter, and of itself, however long; it is
+its own substrings, up to ``MAX_WORD`` letters or as long as a longer word of the pages; it is
 split within one row.
 
 Defined results: NULL url or one without ``://`` has an empty host and path and is
@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from dqgate.llm.common import lower_ascii, written
 
+#: Substrings of every length up to this are looked up; of longer ones, those as long as a word of the pages.
 MAX_WORD = 20
 
 
@@ -159,10 +160,17 @@ def segmented(runs: DataFrame, counts: DataFrame) -> DataFrame:
         .select("run", (F.col("s") - 1).alias("s"), (F.col("s") - 1 + F.col("z")).alias("e"),
                 F.expr("substring(run, s, z)").alias("word"))
     )
-    whole = runs.where(F.length("run") > MAX_WORD).select(
-        "run", F.lit(0).alias("s"), F.length("run").alias("e"), F.col("run").alias("word")
-    )
-    parts = parts.unionByName(whole)
+    # Longer words: substrings of those lengths only that some such word has.
+    longest = runs.agg(F.max(F.length("run"))).first()[0] or 0
+    lengths = counts.select(F.length("word").alias("z")).where(F.col("z").between(MAX_WORD + 1, longest)).distinct()
+    more = sorted(row["z"] for row in lengths.collect())  # no more than the longest run has letters
+    if more:
+        fits = F.filter(F.lit(more), lambda z: z <= F.length("run") - F.col("s") + 1)
+        longer = runs.where(F.length("run") > MAX_WORD).select("run", cut.alias("s")).select("run", "s", F.explode(fits).alias("z"))
+        parts = parts.unionByName(
+            longer.select("run", (F.col("s") - 1).alias("s"), (F.col("s") - 1 + F.col("z")).alias("e"),
+                          F.expr("substring(run, s, z)").alias("word"))
+        )
     found = parts.join(counts, "word").select(
         "run", F.struct("s", "e", F.log(part).alias("p")).alias("_m")
     )

@@ -373,6 +373,9 @@ def test_long_words_stay_whole(spark):
     word = "donaudampfschifffahrtsgesellschaft"
     pages = spark.createDataFrame([(f"<p>{word} donau dampf schiff fahrt gesellschaft {word}</p>",)], "html string")
     names = spark.createDataFrame([], "host string, path string")
-    runs = spark.createDataFrame([(word,), ("donaudampf",)], "run string")
+    inside, both = word + "casino", "dampf" + word + word
+    runs = spark.createDataFrame([(word,), ("donaudampf",), (inside,), (both,)], "run string")
     got = {r.run: r.words for r in url_filter.segmented(runs, url_filter.word_counts(pages, names)).collect()}
-    assert got == {word: [word], "donaudampf": ["donau", "dampf"]}
+    assert got == {
+        word: [word], "donaudampf": ["donau", "dampf"], inside: [word, "casino"], both: ["dampf", word, word],
+    }
