@@ -49,13 +49,26 @@ def chunks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         first = last
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words (A-Z as a-z) in order, and each text's range among them."""
-    if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+def _blank(data: np.ndarray) -> np.ndarray:
+    return (data == 32) | ((data >= 9) & (data <= 13))
+
+
+def _piece_end(data: np.ndarray, at: int) -> int:
+    """Where to cut so that no word is cut: before a blank, about ``CHUNK_BYTES`` after ``at``."""
+    end = at + 2 * CHUNK_BYTES
+    while end < len(data):
+        blanks = np.flatnonzero(_blank(data[end : end + 65_536]))
+        if len(blanks):
+            return end + int(blanks[0])
+        end += 65_536
+    return len(data)
+
+
+def _hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and first bytes of the words of ``data``, in which texts begin at ``offsets``."""
     upper = (data >= 65) & (data <= 90)
     lowered = data + (upper * np.uint8(32))
-    inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    inside = ~_blank(data)
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[offsets] = True
     starts = inside & (edge[:-1] | np.concatenate(([True], ~inside[:-1])))
@@ -64,8 +77,25 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     up, down = _power_tables(len(data))
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((lowered.astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
-    hashes = mixed((sums[e] - sums[s]) * down[s])
-    return hashes, np.searchsorted(s, offsets)
+    return mixed((sums[e] - sums[s]) * down[s]), s
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words (A-Z as a-z) in order, and each text's range among them.
+
+    A long text is worked on in pieces cut between words; the hash of a word does not
+    depend on its place.
+    """
+    if not len(data):
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+    hashes, places, at = [], [], 0
+    while at < len(data):
+        end = _piece_end(data, at)
+        own, first = _hashed_words(data[at:end], offsets[(offsets >= at) & (offsets <= end)] - at)
+        hashes.append(own)
+        places.append(first + at)
+        at = end
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(places), offsets)
 
 
 def grams(words: np.ndarray, n: int) -> np.ndarray:
