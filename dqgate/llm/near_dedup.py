@@ -399,8 +399,11 @@ def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
     return written(components(stars.unionByName(links)))
 
 
-def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
-    """``doc_id, text_hash, n_shingles, component_id, kept`` for each row of ``docs``."""
+def grouped(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, component, component_id`` for each row of ``docs``.
+
+    ``component`` names the group, whatever the ids of its rows; NULL without shingles.
+    """
     signed = written(signatures(docs, banding))
     filled = signed.where("class is not null")
     classes = filled.dropDuplicates(["class"]).select("class", "n_shingles", "bands")
@@ -430,22 +433,32 @@ def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
     )
     ids = written(ids)
     least = ids.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    by_class = ids.join(least, "component").select("class", "component_id")
+    by_class = ids.join(least, "component").select("class", "component", "component_id")
     component_id = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return signed.join(by_class, "class", "left").select(
-        "doc_id", "text_hash", "n_shingles",
-        component_id.alias("component_id"),
-        F.col("doc_id").eqNullSafe(component_id).alias("kept"),
+        "doc_id", "text_hash", "n_shingles", "component", component_id.alias("component_id")
+    )
+
+
+def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, component_id, kept`` for each row of ``docs``."""
+    return grouped(docs, banding).select(
+        "doc_id", "text_hash", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
     )
 
 
 def deduplicated(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest id; all columns stay.
+    """``docs`` with one row of each component; all columns stay.
 
-    Of rows with equal doc_id and text one stays.
+    It is the row with the smallest id, NULL last; of several with that id, one with the smallest
+    hash of its text.  Of rows without shingles with equal doc_id and text one stays.
     """
-    found = near_duplicates(docs, banding).where("kept")
-    kept = written(found.groupBy("doc_id", "text_hash").agg(F.count("*").alias("_rows")))
+    rows = grouped(docs, banding).groupBy("component", "doc_id", "text_hash").agg(F.count("*").alias("_rows"))
+    rows = written(rows)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "_rows")).alias("_row")
+    of_groups = rows.where("component is not null").groupBy("component").agg(first)
+    alone = rows.where("component is null").select("doc_id", "text_hash", "_rows")
+    kept = written(alone.unionByName(of_groups.select("_row.doc_id", "_row.text_hash", "_row._rows")))
     rows, old = numbered(docs)
     d, k = rows.withColumn("_h", F.xxhash64(old["text"])).withColumn("_id", old["doc_id"]).alias("d"), kept.alias("k")
     same = (F.col("d._h") == F.col("k.text_hash")) & F.col("d._id").eqNullSafe(F.col("k.doc_id"))
