@@ -100,7 +100,11 @@ def doubled(level: DataFrame, lines: int) -> DataFrame:
 
 
 def copies(level: DataFrame, wanted: DataFrame, lines: int) -> DataFrame:
-    """``doc, at, n`` of the ``wanted`` stretches (of ``lines`` to 2 * lines - 1) that are later copies."""
+    """``doc, at, n`` of the ``wanted`` stretches (of ``lines`` to 2 * lines - 1) that are later copies.
+
+    They are all but the first of each interval, so places are matched with places, and
+    the copies of one passage need not meet.
+    """
     end = wanted.withColumn("_end", (F.col("at") + F.col("n") - lines).cast("int"))
     named = end.join(level.select("doc", "at", F.col("rank").alias("_a")), ["doc", "at"])
     if lines > 1:
@@ -108,11 +112,9 @@ def copies(level: DataFrame, wanted: DataFrame, lines: int) -> DataFrame:
         named = named.join(tail, ["doc", "_end"])
     else:
         named = named.withColumn("_b", F.lit(0).cast("long"))
-    named = named.select("doc", "at", "n", "_a", "_b")
-    first = named.groupBy("n", "_a", "_b").agg(
-        F.min(F.struct("doc", "at")).alias("_first"), F.count("*").alias("_members")
-    ).where("_members > 1").drop("_members")
-    return named.join(first, ["n", "_a", "_b"]).where(F.struct("doc", "at") > F.col("_first")).select("doc", "at", "n")
+    first = named.groupBy("n", "_a", "_b").agg(F.min(F.struct("doc", "at")).alias("_first"))
+    first = first.select("_first.doc", "_first.at", "n")
+    return named.select("doc", "at", "n").join(first, ["doc", "at", "n"], "left_anti")
 
 
 def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
