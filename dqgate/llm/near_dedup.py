@@ -15,6 +15,10 @@ by an exact prefix filter (similar sets share one of their rarest shingles) and
 across components within a group, in blocks of fixed size that return links only.  Components come from alternating star contractions,
 a fixed number of joins a round.
 
+Texts, sketches and sets are wide, and most steps want few of them.  Before they are
+shuffled, a table of hash bits of the wanted keys (a Bloom filter with one hash function,
+of bounded size) leaves most others out where they are read; the join that follows is exact.
+
 Defined results: NULL or blank text has no shingles, and is its own component; a text of
 fewer than ``SHINGLE`` words has one shingle; rows with one text are linked, also with
 one doc_id; NULL doc_id counts as the largest; an empty table gives no rows; other
@@ -40,6 +44,8 @@ CELL_BITS = 18
 CENTRES = 1
 #: Classes of a family that a task compares with as many others.
 BLOCK = 512
+#: Bits of a filter, 64 a row: with more keys than that it only lets more rows through.
+FILTER_BITS = 1 << 24
 CELLS = 1 << CELL_BITS
 
 
@@ -122,6 +128,29 @@ def _hashed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("text_hash"), "text")
 
 
+def _cell_of(key: tuple[str, ...]) -> tuple[Column, Column]:
+    """The row of a filter that ``key`` falls into, and the bit in it."""
+    cell = F.pmod(F.xxhash64(*key), F.lit(FILTER_BITS))
+    return F.floor(cell / 64), F.pmod(cell, F.lit(64)).cast("int")
+
+
+def filter_of(wanted: DataFrame, *key: str) -> DataFrame:
+    """``word, bits``: the hash cells of the keys in ``wanted``, in ``FILTER_BITS / 64`` rows at most."""
+    word, bit = _cell_of(key)
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+    return written(wanted.select(word.alias("word"), one.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")))
+
+
+def probable(rows: DataFrame, found: DataFrame, *key: str) -> DataFrame:
+    """``rows`` without most of those whose ``key`` is not in the filter ``found``; the rest all stay.
+
+    Nothing is shuffled: a filter is small by construction, so it is sent to the rows.
+    """
+    word, bit = _cell_of(key)
+    is_set = F.call_function("shiftright", F.col("bits"), bit).bitwiseAND(F.lit(1).cast("bigint")) == 1
+    return rows.join(F.broadcast(found), (word == F.col("word")) & is_set, "left_semi")
+
+
 def buckets(classes: DataFrame) -> DataFrame:
     """``key, class, n, size``: members of the buckets that hold several (``size``) classes.
 
@@ -244,10 +273,11 @@ def rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
 def candidate_groups(still_open: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``class, n, component, family``: open classes by the family they share rare shingles in.
 
+    ``sets`` may hold other classes too; they can only make families larger.
     Similar classes are in one family; each shingle links its classes to one of them, so
     the links are no more than the shingles kept.
     """
-    rare = rare_shingles(sets.join(still_open.select("class"), "class", "left_semi"), percent)
+    rare = rare_shingles(sets, percent)
     rows = written(rare)
     first = rows.groupBy("shingle").agg(F.min("class").alias("a"), F.max("class").alias("_z")).where("a != _z")
     edges = rows.join(first.select("shingle", "a"), "shingle").where("a != class").select("a", F.col("class").alias("b"))
@@ -326,12 +356,19 @@ def sketch_filter(pairs: DataFrame, sketches: DataFrame, banding: Banding) -> Da
     return pairs.join(a, "a").join(b, "b").mapInArrow(run, "a binary, b binary")
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``class, shingles`` of the classes in ``wanted`` (class, doc_id, text_hash)."""
-    d, w = _hashed(docs).alias("d"), wanted.alias("w")
-    texts = d.join(
-        w, (F.col("d.text_hash") == F.col("w.text_hash")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))
-    ).select("w.class", "d.text")
+def full_sets(docs: DataFrame, wanted: DataFrame, found: DataFrame | None = None) -> DataFrame:
+    """``class, shingles`` of the classes in ``wanted`` (class, doc_id, text_hash).
+
+    ``found`` is the filter of its rows, if there is one already.
+    Rows of ``docs`` with equal doc_id and text are put together by the shuffle of the join.
+    """
+    row = ["text_hash", "_id", "_null"]
+    keys = [F.col("text_hash"), F.coalesce("doc_id", F.lit(0)).alias("_id"), F.isnull("doc_id").alias("_null")]
+    if found is None:
+        found = filter_of(wanted, "doc_id", "text_hash")
+    some = probable(_hashed(docs), found, "doc_id", "text_hash")
+    one = some.select(*keys, "text").groupBy(*row).agg(F.first("text").alias("text"))
+    texts = one.join(wanted.select(*keys, "class"), row).select("class", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -340,7 +377,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 [batch.column("class"), pa.array(sets, pa.binary())], names=["class", "shingles"]
             )
 
-    return texts.mapInArrow(run, "class binary, shingles binary").dropDuplicates(["class"])
+    return texts.mapInArrow(run, "class binary, shingles binary")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -414,9 +451,11 @@ def grouped(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
     wanted = named.join(members.select("class").distinct(), "class", "left_semi").select(
         "class", "_row.doc_id", "_row.text_hash"
     )
-    sets = written(full_sets(docs, wanted))
-    sketches = filled.select("class", "sketch").join(sets.select("class"), "class", "left_semi").dropDuplicates(["class"])
-    sketches = written(sketches)
+    wanted = written(wanted)
+    asked = filter_of(wanted, "doc_id", "text_hash")
+    sets = written(full_sets(docs, wanted, asked))
+    sketches = probable(filled, asked, "doc_id", "text_hash").select("class", "sketch")
+    sketches = written(sketches.join(wanted.select("class"), "class", "left_semi").dropDuplicates(["class"]))
 
     def check(pairs: DataFrame) -> DataFrame:
         return written(confirmed(written(sketch_filter(pairs, sketches, banding)), sets, banding.percent))
@@ -425,8 +464,9 @@ def grouped(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
     for which in range(1, CENTRES):
         found = _joined(found, check(central_pairs(members, which, banding.percent, found)))
     still_open = written(open_members(members, found))
-    families = written(candidate_groups(still_open, sets, banding.percent))
-    found = _joined(found, written(family_links(families, sets, sketches, banding)))
+    open_sets = probable(sets, filter_of(still_open, "class"), "class")
+    families = written(candidate_groups(still_open, open_sets, banding.percent))
+    found = _joined(found, written(family_links(families, open_sets, sketches, banding)))
 
     ids = named.join(found, "class", "left").select(
         "class", "first_id", F.coalesce("component", "class").alias("component")
