@@ -10,14 +10,18 @@ Documents with the same set form one class and are handled as one from then on.
 Candidate pairs first compare short sketches (a bound six standard errors below the
 threshold), then their full sets.  Buckets are never paired out: each class meets the most
 central members of its buckets, one after the other, and links join classes into
-components.  Classes whose buckets still hold several components after that are grouped
-by an exact prefix filter (similar sets share one of their rarest shingles) and compared
-across components within a group, in blocks of fixed size that return links only.  Components come from alternating star contractions,
-a fixed number of joins a round.
+components.  Classes whose buckets still hold several components after that are compared
+across components by an exact prefix filter: similar sets share one of their rarest shingles.
+Classes that share one that few have are paired.  The others, that share only ones many have,
+are grouped by these into families and compared within a family, in blocks of fixed size that
+return links only.  Components come from alternating star contractions, a fixed number of
+joins a round.
 
 Texts, sketches and sets are wide, and most steps want few of them.  Before they are
 shuffled, a table of hash bits of the wanted keys (a Bloom filter with one hash function,
 of bounded size) leaves most others out where they are read; the join that follows is exact.
+Tables and shuffle files go as soon as they have been read for the last time, so the disk holds
+those of the widest step and not those of all.
 
 Defined results: NULL or blank text has no shingles, and is its own component; a text of
 fewer than ``SHINGLE`` words has one shingle; rows with one text are linked, also with
@@ -32,9 +36,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from dqgate.llm.common import numbered, restored, written
+from dqgate.llm.common import numbered, restored, spent, written_once as written
 from dqgate.llm.textarrays import mixed, shingle_sets
 
 SHINGLE = 5
@@ -44,6 +49,10 @@ CELL_BITS = 18
 CENTRES = 1
 #: Classes of a family that a task compares with as many others.
 BLOCK = 512
+#: Open classes with one shingle up to which all of them are paired.
+PAIRED = 32
+#: Classes with one rare shingle from which on it counts as common.
+COMMON = 8
 #: Bits of a filter, 64 a row: with more keys than that it only lets more rows through.
 FILTER_BITS = 1 << 24
 CELLS = 1 << CELL_BITS
@@ -154,13 +163,15 @@ def probable(rows: DataFrame, found: DataFrame, *key: str) -> DataFrame:
 def buckets(classes: DataFrame) -> DataFrame:
     """``key, class, n, size``: members of the buckets that hold several (``size``) classes.
 
-    Buckets are counted before their members are looked up.
+    Buckets are counted before their members are looked up.  The result is written.
     """
     members = classes.select("class", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     by_key = Window.partitionBy("key").orderBy("class")
     several = members.withColumn("_b", F.lag("class").over(by_key)).withColumn("_a", F.lead("class").over(by_key))
     several = written(several.where("_a is not null or _b is not null").select("key", "class", "n"))
-    return several.join(several.groupBy("key").agg(F.count("*").alias("size")), "key")
+    counted = written(several.join(several.groupBy("key").agg(F.count("*").alias("size")), "key"))
+    spent(several)
+    return counted
 
 
 def with_centres(members: DataFrame) -> DataFrame:
@@ -249,17 +260,30 @@ def rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
     Sets of n shingles that are similar enough share ``percent`` of n at least, so they
     have one of the first n - that + 1 in common, in any order that is the same for all.
     With the rarest first, what many texts have in common comes last and joins nothing.
+    Hash cells are too coarse to tell all that is common, so what is found to be common among
+    the first shingles comes after all others.
     """
-    shared = sets.sparkSession.sparkContext.broadcast(shingle_weights(sets))
+    weights = sets.sparkSession.sparkContext.broadcast(shingle_weights(sets))
+    first = _first_shingles(sets, percent, weights, None)
+    found = first.groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") > COMMON)
+    found = found.orderBy(F.desc("n"), "shingle").limit(CELLS).select("shingle").toArrow()  # CELLS numbers at most
+    last = np.sort(found.column("shingle").to_numpy().view(np.uint64))
+    return _first_shingles(sets, percent, weights, sets.sparkSession.sparkContext.broadcast(last))
+
+
+def _first_shingles(sets: DataFrame, percent: int, weights: Broadcast, last: Broadcast | None) -> DataFrame:
+    """``class, shingle`` of the first shingles by weight; those in ``last`` (sorted) come after all others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = last.value if last else np.zeros(0, np.uint64)
         for batch in batches:
             for first in range(0, batch.num_rows, 1000):
                 part = batch.slice(first, 1000)
                 rows = []
                 for found in part.column("shingles"):
                     own = _shingles(found)
-                    order = np.lexsort((own, shared.value[_cells(own)]))
+                    late = np.searchsorted(common, own, "right") > np.searchsorted(common, own, "left")
+                    order = np.lexsort((own, weights.value[_cells(own)], late))
                     rows.append(own[order[: len(own) - -(-len(own) * percent // 100) + 1]])
                 owner = np.repeat(np.arange(part.num_rows), [len(r) for r in rows])
                 yield pa.RecordBatch.from_arrays(
@@ -270,19 +294,45 @@ def rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
     return sets.select("class", "shingles").mapInArrow(run, "class binary, shingle bigint")
 
 
-def candidate_groups(still_open: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``class, n, component, family``: open classes by the family they share rare shingles in.
+def shared_shingles(still_open: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """``shingle, class, n, component, crowded`` of the rare shingles of open classes that several
+    components have, and the tables that this is read from.
+
+    ``sets`` may hold other classes too.  Similar classes of different components have at least
+    one of these in common.  More than ``PAIRED`` classes have a ``crowded`` one.
+    """
+    rare = written(rare_shingles(sets, percent).join(still_open, "class"))
+    counted = rare.groupBy("shingle").agg(
+        F.count("*").alias("_n"), F.min("component").alias("_a"), F.max("component").alias("_z")
+    )
+    several = written(counted.where("_a != _z").select("shingle", (F.col("_n") > PAIRED).alias("crowded")))
+    return rare.join(several, "shingle"), [rare, several]
+
+
+def shared_pairs(shared: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: classes of different components, and of sizes that allow it, with a shingle in common.
+
+    A class has ``PAIRED`` partners a shingle at most.
+    """
+    x, y = shared.alias("x"), shared.alias("y")
+    met = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.class") < F.col("y.class")))
+    met = met.where(F.col("x.component") != F.col("y.component")).where(_sizes_allow(F.col("x.n"), F.col("y.n"), percent))
+    return met.select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
+
 
-    ``sets`` may hold other classes too; they can only make families larger.
-    Similar classes are in one family; each shingle links its classes to one of them, so
-    the links are no more than the shingles kept.
+def crowded_families(still_open: DataFrame, shared: DataFrame) -> DataFrame:
+    """``class, n, component, family``: open classes by the family they share shingles in.
+
+    Each shingle links its classes to one of them, so the links are no more than the shingles.
+    The result is written.
     """
-    rare = rare_shingles(sets, percent)
-    rows = written(rare)
-    first = rows.groupBy("shingle").agg(F.min("class").alias("a"), F.max("class").alias("_z")).where("a != _z")
-    edges = rows.join(first.select("shingle", "a"), "shingle").where("a != class").select("a", F.col("class").alias("b"))
-    family = written(components(edges)).withColumnRenamed("component", "family")
-    return still_open.join(family, "class")
+    rows = written(shared.select("shingle", "class"))
+    first = rows.groupBy("shingle").agg(F.min("class").alias("a"))
+    edges = rows.join(first, "shingle").where("a != class").select("a", F.col("class").alias("b"))
+    family = components(edges)
+    found = written(still_open.join(family.withColumnRenamed("component", "family"), "class"))
+    spent(rows, family)
+    return found
 
 
 def family_links(members: DataFrame, sets: DataFrame, sketches: DataFrame, banding: Banding) -> DataFrame:
@@ -291,6 +341,7 @@ def family_links(members: DataFrame, sets: DataFrame, sketches: DataFrame, bandi
     Families are cut into blocks in the order of components, and tasks compare two blocks
     at a time: sketches first, then full sets.  Pairs of blocks within one component are
     left out.  Only links are returned, and of a component one for each class at most.
+    The result is written.
     """
     in_order = Window.partitionBy("family").orderBy("component", "class")
     placed = members.withColumn("block", F.floor((F.row_number().over(in_order) - 1) / BLOCK).cast("int"))
@@ -302,7 +353,8 @@ def family_links(members: DataFrame, sets: DataFrame, sketches: DataFrame, bandi
     )
     meet = written(meet.select("x.family", F.col("x.block").alias("i"), F.col("y.block").alias("j")))
     ends = meet.select("family", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
-    content = placed.join(sketches, "class").join(sets, "class")
+    asked = filter_of(placed, "class")
+    content = placed.join(sketches, "class").join(probable(sets, asked, "class"), "class")
     rows = ends.join(content, ["family", "block"]).select(
         "family", "i", "j", "block", "class", "n", "component", "sketch", "shingles"
     )
@@ -335,7 +387,9 @@ def family_links(members: DataFrame, sets: DataFrame, sketches: DataFrame, bandi
                     out_b.append(names[j])
         return pa.table([pa.array(out_a, pa.binary()), pa.array(out_b, pa.binary())], names=["a", "b"])
 
-    return rows.groupBy("family", "i", "j").applyInArrow(compare, "a binary, b binary")
+    found = written(rows.groupBy("family", "i", "j").applyInArrow(compare, "a binary, b binary"))
+    spent(placed, meet, asked)
+    return found
 
 
 def sketch_filter(pairs: DataFrame, sketches: DataFrame, banding: Banding) -> DataFrame:
@@ -403,7 +457,7 @@ def components(links: DataFrame) -> DataFrame:
 
     Large and small star contractions alternate until no class that an edge leads to has
     an edge of its own; each then leads straight to the least class.  Every round's edges
-    are written.
+    are written, and so is the result.
     """
     edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     while True:
@@ -411,6 +465,7 @@ def components(links: DataFrame) -> DataFrame:
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = written(large.distinct())
+        spent(edges)
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             large.join(down, "u")
@@ -419,6 +474,7 @@ def components(links: DataFrame) -> DataFrame:
             .unionByName(down.select("u", F.col("m").alias("v")))
         )
         edges = written(small.distinct())
+        spent(large)
         ends = edges.select(F.col("u").alias("c"), F.lit(True).alias("from_here")).unionByName(
             edges.select(F.col("v").alias("c"), F.lit(False).alias("from_here"))
         )
@@ -427,13 +483,22 @@ def components(links: DataFrame) -> DataFrame:
         if both_ways.select("c").unionByName(several.select(F.col("u").alias("c"))).isEmpty():
             break
     own = edges.select(F.col("v").alias("class"), F.col("v").alias("component")).distinct()
-    return edges.select(F.col("u").alias("class"), F.col("v").alias("component")).unionByName(own)
+    found = written(edges.select(F.col("u").alias("class"), F.col("v").alias("component")).unionByName(own))
+    spent(edges)
+    return found
+
 
+def _joined(found: DataFrame, *links: DataFrame) -> DataFrame:
+    """The components of ``found`` with ``links`` added: the stars known so far are edges already.
 
-def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
-    """The components of ``found`` with ``links`` added: the stars known so far are edges already."""
-    stars = found.where("class != component").select(F.col("class").alias("a"), F.col("component").alias("b"))
-    return written(components(stars.unionByName(links)))
+    The tables are spent.
+    """
+    edges = found.where("class != component").select(F.col("class").alias("a"), F.col("component").alias("b"))
+    for more in links:
+        edges = edges.unionByName(more)
+    joined = components(edges)
+    spent(found, *links)
+    return joined
 
 
 def grouped(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
@@ -441,10 +506,17 @@ def grouped(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
 
     ``component`` names the group, whatever the ids of its rows; NULL without shingles.
     """
+    return _grouped(docs, banding)[0]
+
+
+def _grouped(docs: DataFrame, banding: Banding) -> tuple[DataFrame, list[DataFrame]]:
+    """:func:`grouped`, and the tables that it is read from."""
     signed = written(signatures(docs, banding))
     filled = signed.where("class is not null")
     classes = filled.dropDuplicates(["class"]).select("class", "n_shingles", "bands")
-    members = written(with_centres(written(buckets(classes))))
+    counted = buckets(classes)
+    members = written(with_centres(counted))
+    spent(counted)
     named = filled.groupBy("class").agg(
         F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "text_hash")).alias("_row")
     )
@@ -456,28 +528,42 @@ def grouped(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
     sets = written(full_sets(docs, wanted, asked))
     sketches = probable(filled, asked, "doc_id", "text_hash").select("class", "sketch")
     sketches = written(sketches.join(wanted.select("class"), "class", "left_semi").dropDuplicates(["class"]))
+    spent(wanted, asked)
 
     def check(pairs: DataFrame) -> DataFrame:
-        return written(confirmed(written(sketch_filter(pairs, sketches, banding)), sets, banding.percent))
-
-    found = written(components(check(central_pairs(members, 0, banding.percent))))
+        near = written(sketch_filter(pairs, sketches, banding))
+        alike = written(confirmed(near, sets, banding.percent))
+        spent(near)
+        return alike
+
+    links = check(central_pairs(members, 0, banding.percent))
+    found = components(links)
+    spent(links)
     for which in range(1, CENTRES):
         found = _joined(found, check(central_pairs(members, which, banding.percent, found)))
     still_open = written(open_members(members, found))
-    open_sets = probable(sets, filter_of(still_open, "class"), "class")
-    families = written(candidate_groups(still_open, open_sets, banding.percent))
-    found = _joined(found, written(family_links(families, open_sets, sketches, banding)))
+    spent(members)
+    wanted = filter_of(still_open, "class")
+    shared, read = shared_shingles(still_open, probable(sets, wanted, "class"), banding.percent)
+    few = check(shared_pairs(shared.where("not crowded"), banding.percent))
+    families = crowded_families(still_open, shared.where("crowded"))
+    spent(still_open, wanted, *read)
+    many = family_links(families, sets, sketches, banding)
+    spent(families, sets, sketches)
+    found = _joined(found, few, many)
 
     ids = named.join(found, "class", "left").select(
         "class", "first_id", F.coalesce("component", "class").alias("component")
     )
     ids = written(ids)
+    spent(found)
     least = ids.groupBy("component").agg(F.min("first_id").alias("component_id"))
     by_class = ids.join(least, "component").select("class", "component", "component_id")
     component_id = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return signed.join(by_class, "class", "left").select(
+    rows = signed.join(by_class, "class", "left").select(
         "doc_id", "text_hash", "n_shingles", "component", component_id.alias("component_id")
     )
+    return rows, [signed, ids]
 
 
 def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
