@@ -579,12 +579,14 @@ def deduplicated(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
     It is the row with the smallest id, NULL last; of several with that id, one with the smallest
     hash of its text.  Of rows without shingles with equal doc_id and text one stays.
     """
-    rows = grouped(docs, banding).groupBy("component", "doc_id", "text_hash").agg(F.count("*").alias("_rows"))
-    rows = written(rows)
+    rows, read = _grouped(docs, banding)
+    rows = written(rows.groupBy("component", "doc_id", "text_hash").agg(F.count("*").alias("_rows")))
+    spent(*read)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "_rows")).alias("_row")
     of_groups = rows.where("component is not null").groupBy("component").agg(first)
     alone = rows.where("component is null").select("doc_id", "text_hash", "_rows")
     kept = written(alone.unionByName(of_groups.select("_row.doc_id", "_row.text_hash", "_row._rows")))
+    spent(rows)
     rows, old = numbered(docs)
     d, k = rows.withColumn("_h", F.xxhash64(old["text"])).withColumn("_id", old["doc_id"]).alias("d"), kept.alias("k")
     same = (F.col("d._h") == F.col("k.text_hash")) & F.col("d._id").eqNullSafe(F.col("k.doc_id"))

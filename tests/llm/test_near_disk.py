@@ -52,6 +52,7 @@ def test_tables_go_when_they_are_read(spark, chain, tmp_path, monkeypatch):
     monkeypatch.setattr(lineage, "work_dir", lambda _: f"file://{tmp_path}/a b%20/{uuid.uuid4().hex}")
     tables = lambda: {p.parent for p in Path(tmp_path).rglob("*.parquet")}
     assert near_dedup.near_duplicates(chain).count() == 300 and len(tables()) == 2
+    assert near_dedup.deduplicated(chain).count() == 300 and len(tables()) == 3
 
 
 def test_shuffle_files_go_with_their_job(spark):
